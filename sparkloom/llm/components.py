@@ -1,0 +1,32 @@
+"""Connected components of a table of edges, without collecting edges or components anywhere."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from .store import written
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """edges (a long, b long, a != b) to (node, component): component is the smallest node that node is linked to.
+
+    Alternating large and small stars (Kiveris and others): each step links a node's larger neighbours, then
+    its smaller ones, to its smallest neighbour. A node's neighbours are never gathered in a row: the smallest is an
+    aggregate that is joined back. Steps end when the edges stay the same; each step's edges are a written
+    table. An empty table gives an empty table.
+    """
+    now = written(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b").distinct(), "edges")
+    before = None
+    while True:
+        both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+        large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        low = large.groupBy("a").agg(F.min("b").alias("m"))
+        linked = large.join(low, "a")
+        small = linked.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(low.select("a", F.col("m").alias("b"))).where("a != b").distinct()
+        now = written(small, "edges")
+        sign = now.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()
+        if sign == before:
+            return now.groupBy("a").agg(F.min("b").alias("b")).select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
+        before = sign

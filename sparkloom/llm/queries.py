@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, toxicity
+import public_tokenizers
+
+from . import decontaminate, html, near_dup, packing, token_files, toxicity
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -19,9 +21,29 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontamination(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
 
 
+def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(_read(spark, sf_dir, "documents"))
+
+
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.token_files(_read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.html_text(_read(spark, sf_dir, "pages"))
+
+
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packing(_read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_decontamination": op2_decontamination,
+    "op3_near_duplicates": op3_near_duplicates,
+    "op4_token_files": op4_token_files,
+    "op7_html_text": op7_html_text,
+    "op8_packing": op8_packing,
 }
 
 _WORDS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"

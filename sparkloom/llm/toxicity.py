@@ -39,8 +39,8 @@ RESULT = "score double, n_passages int, passage_start int, passage_end int, pass
 
 @dataclass(frozen=True)
 class Settings:
-    bits: int = 20  # the sketch has two rows of 2**bits counters for each class
-    prior: float = 3.0  # weight of each Dirichlet prior, in texts
+    bits: int = 18  # the sketch has two rows of 2**bits counters for each class
+    prior: float = 5.0  # weight of each Dirichlet prior, in texts
     drift: float = 0.7  # taken from every token, so that clean text falls
     tail: float = 0.5  # segments over this score are used to fit the tail
     significance: float = 0.05
@@ -189,10 +189,12 @@ def learn(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -
     n = known.count()
     known = F.broadcast(known) if n <= s.small_labels else known
     taught = docs.select("doc_id", "text").where(~held_out()).join(known, "doc_id").select("doc_id", "text", "label")
-    counts = taught.select("text", "label").mapInPandas(lambda it: _count(it, s.bits), "slot long, clean long, toxic long").groupBy("slot").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).toPandas()
+    counts = taught.select("text", "label").mapInPandas(lambda it: _count(it, s.bits), "slot long, clean long, toxic long").groupBy("slot").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).toArrow()
     clean, toxic = np.zeros(2 << s.bits, dtype=np.float32), np.zeros(2 << s.bits, dtype=np.float32)
-    clean[counts["slot"]], toxic[counts["slot"]] = counts["clean"], counts["toxic"]
-    bad, good = float(counts["toxic"].sum()), float(counts["clean"].sum())
+    slots = counts["slot"].to_numpy()
+    clean[slots], toxic[slots] = counts["clean"].to_numpy(), counts["toxic"].to_numpy()
+    bad, good = float(toxic.sum(dtype=np.float64)), float(clean.sum(dtype=np.float64))
+    del counts, slots
     m = Model(clean, toxic, bad / (bad + good) if bad + good else 0.0, s)
     if not bad or not good:
         m.constant = m.share
