@@ -6,9 +6,10 @@ run() writes each stage's rows to the shared folder and reads them again as the
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sparkloom.llm import decontaminate, toxicity
+from sparkloom.llm import decontaminate, line_dedup, near_dup, packing, toxicity
 from sparkloom.llm.store import written
 
 
@@ -17,16 +18,36 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose toxicity score is 0.5 or more go."""
     return toxicity.without_toxic(docs, _table(spark, sf_dir, "labels"))
 
 
+def cut_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages that occur before, here or in another document, are cut out of text."""
+    return line_dedup.without_repeats(docs)
+
+
+def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near duplicates the document with the smallest doc_id stays."""
+    return near_dup.one_of_each_group(docs)
+
+
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a window of a benchmark item go."""
     return decontaminate.without_benchmark(docs, _table(spark, sf_dir, "benchmark"))
 
 
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of at most 2048 tokens and their places in sequences."""
+    return packing.packing(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
 STAGES = [
     ("toxicity", drop_toxic),
+    ("line_dedup", cut_repeated_lines),
+    ("near_dedup", keep_one_of_near_duplicates),
     ("decontamination", drop_benchmark),
+    ("packing", pack_sequences),
 ]
 
 #: Learned scores, signatures and packing are beyond SQL; tests hold each stage against a plain version.
