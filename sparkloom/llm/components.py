@@ -13,12 +13,11 @@ def components(edges: DataFrame) -> DataFrame:
 
     Alternating large and small stars (Kiveris and others): each step links a node's larger neighbours, then
     its smaller ones, to its smallest neighbour. A node's neighbours are never gathered in a row: the smallest is an
-    aggregate that is joined back. Steps end when the edges stay the same; each step's edges are a written
-    table. An empty table gives an empty table.
+    aggregate that is joined back. Steps end when no node that others are linked to is linked itself; each step's edges
+    are a written table. An empty table gives an empty table.
     """
     now = written(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b").distinct(), "edges")
-    before = None
-    while True:
+    while not _stars(now):
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
         large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
@@ -26,7 +25,10 @@ def components(edges: DataFrame) -> DataFrame:
         linked = large.join(low, "a")
         small = linked.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(low.select("a", F.col("m").alias("b"))).where("a != b").distinct()
         now = written(small, "edges")
-        sign = now.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()
-        if sign == before:
-            return now.groupBy("a").agg(F.min("b").alias("b")).select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
-        before = sign
+    return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
+
+
+def _stars(edges: DataFrame) -> bool:
+    """Whether every node has one link and links only to nodes without one."""
+    ends = edges.select(F.col("a").alias("n"), F.lit(1).alias("linked"), F.lit(0).alias("centre")).unionByName(edges.select(F.col("b").alias("n"), F.lit(0).alias("linked"), F.lit(1).alias("centre")))
+    return ends.groupBy("n").agg(F.sum("linked").alias("linked"), F.max("centre").alias("centre")).where("linked > 1 OR linked = 1 AND centre = 1").isEmpty()

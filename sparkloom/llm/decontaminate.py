@@ -123,12 +123,12 @@ def _spans(batches: Iterator[pd.DataFrame], shared) -> Iterator[pd.DataFrame]:
     searchers = compiled(shared.value)
     for batch in batches:
         out = []
-        for doc, text in zip(batch["_row"], batch["text"], strict=True):
+        for row, text in zip(batch["row"], batch["text"], strict=True):
             words = words_of(text)
             hit, items = _hits(words, searchers)
             edge = np.flatnonzero(np.diff(np.concatenate(([0], hit.view(np.int8), [0]))))
-            out.append((doc, len(words), edge[0::2].tolist(), edge[1::2].tolist(), sorted(items)))
-        yield pd.DataFrame(out, columns=["_row", "n_words", "starts", "ends", "items"])
+            out.append((row, len(words), edge[0::2].tolist(), edge[1::2].tolist(), sorted(items)))
+        yield pd.DataFrame(out, columns=["row", "n_words", "starts", "ends", "items"])
 
 
 def _united(n: pd.Series, starts: pd.Series, ends: pd.Series, items: pd.Series) -> pd.DataFrame:
@@ -152,16 +152,19 @@ def with_hits(docs: DataFrame, benchmark: DataFrame, name: str, block_windows: i
     n = windows.count()
     if n <= block_windows:
         return docs.withColumn(name, hits_column([(bytes(r["window"]), r["item"]) for r in windows.collect()], F.col("text"), spark))
-    blocks = -(-n // (block_windows // 2))  # hashed blocks of half the limit: none exceeds it in practice
+    blocks = -(-n // (block_windows // 2))  # hashed blocks of about half the limit
+    row = "_row"
+    while row in docs.columns or row == name:
+        row += "_"
     windows = written(windows.withColumn("block", F.pmod(F.xxhash64("window"), F.lit(blocks))), "windows")
-    kept = written(docs.withColumn("_row", F.concat_ws("-", F.monotonically_increasing_id(), F.spark_partition_id())), "documents")
+    kept = written(docs.withColumn(row, F.monotonically_increasing_id()), "documents")
     found = None
     for k in range(blocks):
         shared = spark.sparkContext.broadcast([(bytes(r["window"]), r["item"]) for r in windows.where(F.col("block") == k).collect()])
-        part = kept.select("_row", "text").mapInPandas(lambda it, s=shared: _spans(it, s), "_row string, n_words long, starts array<long>, ends array<long>, items array<string>")
+        part = kept.select(F.col(row).alias("row"), "text").mapInPandas(lambda it, s=shared: _spans(it, s), "row long, n_words long, starts array<long>, ends array<long>, items array<string>")
         found = part if found is None else found.unionByName(part)
-    united = found.groupBy("_row").agg(F.first("n_words").alias("n"), F.collect_list("starts").alias("a"), F.collect_list("ends").alias("b"), F.collect_list("items").alias("i"))
-    return kept.join(united.select("_row", F.pandas_udf(_united, RESULT)("n", "a", "b", "i").alias(name)), "_row").drop("_row")
+    united = found.groupBy(F.col("row").alias(row)).agg(F.first("n_words").alias("n"), F.collect_list("starts").alias("a"), F.collect_list("ends").alias("b"), F.collect_list("items").alias("i"))
+    return kept.join(united.select(row, F.pandas_udf(_united, RESULT)("n", "a", "b", "i").alias(name)), row).drop(row)
 
 
 def decontamination(docs: DataFrame, benchmark: DataFrame, block_windows: int = 200_000) -> DataFrame:

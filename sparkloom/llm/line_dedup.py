@@ -38,8 +38,8 @@ LONG, CUT = 24, 12
 
 @dataclass(frozen=True)
 class Settings:
-    divisor: int = 3
-    min_words: int = 20
+    divisor: int = 2
+    min_words: int = 12
 
 
 def units(text: str) -> list[tuple[int, int, int]]:
