@@ -33,7 +33,7 @@ from .store import written
 class Settings:
     k: int = 5
     dims: int = 8  # even
-    sure: float = 0.97
+    sure: float = 0.9
     leaf: int = 64
     tree_rows: int = 32_768
     block_queries: int = 16_384
@@ -77,24 +77,33 @@ class Index:
         self.order = np.concatenate(leaves)
         self.ends = np.cumsum([len(x) for x in leaves])
         self.begins = np.concatenate(([0], self.ends[:-1]))
-        self.unit = unit[self.order]
+        self.unit = unit[self.order].astype(np.float32)  # for the search; scores come from the vectors
         self.low = np.array([points[x].min(axis=0) for x in leaves])
         self.high = np.array([points[x].max(axis=0) for x in leaves])
         self.bound = chi_square_quantile(s.sure, s.dims)
 
-    def search(self, query: np.ndarray, k: int, step: int = 8) -> np.ndarray:
+    def search(self, query: np.ndarray, k: int) -> np.ndarray:
         """Rows of the vectors nearest to a unit vector, nearest first."""
         q = query @ self.matrix
-        far = (np.maximum(0, np.maximum(self.low - q, q - self.high)) ** 2).sum(axis=1)
+        far = np.square(np.maximum(0, np.maximum(self.low - q, q - self.high))).sum(axis=1)
         turn = np.argsort(far, kind="stable")
-        best, rows = np.zeros(0), np.zeros(0, dtype=np.int64)
-        for at in range(0, len(turn), step):
-            if len(best) >= k and far[turn[at]] >= self.bound * max(0.0, 2 - 2 * best[k - 1]):
+        like = query.astype(np.float32)
+        best, rows = np.zeros(0, dtype=np.float32), np.zeros(0, dtype=np.int64)
+        at, step = 0, 8
+        while at < len(turn):
+            if len(best) >= k and far[turn[at]] >= self.bound * max(0.0, 2 - 2 * float(best[k - 1])):
                 break
-            seen = np.concatenate([np.arange(self.begins[j], self.ends[j]) for j in turn[at : at + step]])
-            best, rows = np.concatenate([best, self.unit[seen] @ query]), np.concatenate([rows, seen])
+            leaves = turn[at : at + step]
+            counts = self.ends[leaves] - self.begins[leaves]
+            seen = np.arange(counts.sum()) + np.repeat(self.begins[leaves] - np.cumsum(counts) + counts, counts)
+            found = self.unit[seen] @ like
+            if len(best) >= 2 * k:
+                good = np.flatnonzero(found > best[-1])
+                found, seen = found[good], seen[good]
+            best, rows = np.concatenate([best, found]), np.concatenate([rows, seen])
             keep = np.argsort(-best, kind="stable")[: 2 * k]
             best, rows = best[keep], rows[keep]
+            at, step = at + step, min(2 * step, 64)
         return self.order[rows]
 
 

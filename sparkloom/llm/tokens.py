@@ -19,7 +19,7 @@ from array import array
 from tokenizers import Tokenizer
 
 #: Chunks and parts that a worker remembers (about 200 bytes each); beyond that it starts anew.
-MEMO = 1_000_000
+MEMO = 700_000
 _PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
 _PARTS = {
     "words": re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+"),
