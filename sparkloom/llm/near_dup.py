@@ -12,10 +12,9 @@ similarity. Only the ranks that are needed to fill all coordinates are looked at
 Steps: (1) texts with equal words fall into one class, whose smallest doc_id stands for it; (2) classes with an equal
 band of `rows` coordinates meet; the smallest of a bucket is compared with each of the others; (3) linked classes
 become components; (4) where a bucket still holds several components, all pairs across them are compared as well, so
-that no pair that shares a bucket stays unchecked unless already connected. A comparison looks at the signatures
-first (pairs whose agreement is 4.5 standard errors under 0.8 go), then at the shingles of both texts.
+that no pair that shares a bucket stays unchecked unless already connected. A comparison counts the shingles of both texts.
 
-Scale: what is shuffled is signatures and bands of classes, and texts of candidate pairs only. A bucket of a large group
+Scale: what is shuffled is bands of classes, and texts of candidate pairs only. A bucket of a large group
 costs one row for each member. Buckets are never gathered. Step 4 costs one row for each pair across components.
 
 Edge cases: null and empty texts, and texts without words, are in no group (each is its own). Repeated rows and equal
@@ -129,14 +128,12 @@ def _describe(batches: Iterator[pd.DataFrame], s: Settings) -> Iterator[pd.DataF
             words = Words(group)
             n = len(group)
             signature = signatures(*shingles(words, n), n, k)
-            low = (signature & np.uint64(0xFFFF)).astype("<u2")
             banded = signature.reshape(n, s.bands, s.rows)
             band = np.zeros((n, s.bands), dtype=np.uint64)
             for r in range(s.rows):
                 band = mix(band * np.uint64(0x2545F4914F6CDD1D) + banded[:, :, r])
             band = mix(band + np.arange(s.bands, dtype=np.uint64)).view(np.int64)
-            rows = [(b" ".join(one.split()), low[j].tobytes(), band[j]) for j, one in enumerate(group)]
-            yield pd.DataFrame({"doc_id": batch["doc_id"].iloc[at : at + n].astype("Int64").array, "words": [_digest(t) for t, _, _ in rows], "signature": [x for _, x, _ in rows], "bands": [x for _, _, x in rows]})
+            yield pd.DataFrame({"doc_id": batch["doc_id"].iloc[at : at + n].astype("Int64").array, "words": [_digest(b" ".join(one.split())) for one in group], "bands": list(band)})
             at += n
 
 
@@ -159,10 +156,6 @@ def similarity(a: dict[bytes, int], b: dict[bytes, int]) -> float:
     return both / (sum(a.values()) + sum(b.values()) - both) if a and b else 0.0
 
 
-def _agree(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([float((np.frombuffer(x, "<u2") == np.frombuffer(y, "<u2")).mean()) for x, y in zip(a, b, strict=True)], dtype=float)
-
-
 def _compare(batches: Iterator[pd.DataFrame], least: float) -> Iterator[pd.DataFrame]:
     """Rows come sorted by a, so that a's shingles are counted once."""
     last, known = None, {}
@@ -175,47 +168,43 @@ def _compare(batches: Iterator[pd.DataFrame], least: float) -> Iterator[pd.DataF
         yield batch.loc[keep, ["a", "b"]]
 
 
-def _verified(pairs: DataFrame, signed: DataFrame, docs: DataFrame, s: Settings) -> DataFrame:
-    """Those pairs (a < b) of classes that are near duplicates."""
-    floor = s.similarity - 4.5 * (s.similarity * (1 - s.similarity) / (s.bands * s.rows)) ** 0.5
-    one, two = (signed.select(F.col("doc_id").alias(x), F.col("signature").alias(f"s{x}")) for x in "ab")
-    agree = F.pandas_udf(_agree, "double")
-    likely = written(pairs.join(two, "b").join(one, "a").where(agree("sa", "sb") >= floor).select("a", "b"), "pairs")
-    asked = likely.select(F.col("a").alias("doc_id")).unionByName(likely.select(F.col("b").alias("doc_id"))).distinct()
-    texts = docs.join(asked, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
-    texts = written(texts, "candidates")
-    full = likely.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b").join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
-    return written(full.sortWithinPartitions("a").mapInPandas(lambda it: _compare(it, s.similarity), "a long, b long"), "links")
+def _verified(pairs: DataFrame, docs: DataFrame, s: Settings) -> DataFrame:
+    """Those pairs (a < b) that are near duplicates."""
+    asked = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    texts = written(docs.join(asked, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text")), "candidates")
+    two, one = (texts.select(F.col("doc_id").alias(x), F.col("text").alias(f"text_{x}")) for x in "ba")
+    full = pairs.join(two, "b").join(one, "a").sortWithinPartitions("a")
+    return written(full.mapInPandas(lambda it: _compare(it, s.similarity), "a long, b long"), "links")
 
 
 def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """doc_id, group_id (the smallest doc_id of its group) and kept (whether it stands for the group) of every row."""
     s = settings
     source = docs.select("doc_id", "text")
-    described = written(source.mapInPandas(lambda it: _describe(it, s), "doc_id long, words binary, signature binary, bands array<long>"), "described")
-    classes = described.where("words IS NOT NULL AND doc_id IS NOT NULL").groupBy("words").agg(F.min("doc_id").alias("doc_id"))
-    # A class's smallest doc_id stands for it; a doc_id with several texts stands for each of its classes.
-    classes = written(classes, "classes")
-    signed = written(described.join(classes, ["words", "doc_id"], "left_semi").groupBy("doc_id").agg(F.first("signature").alias("signature"), F.first("bands").alias("bands")), "signed")
-    banded = signed.select("doc_id", F.explode("bands").alias("band"))
+    described = written(source.mapInPandas(lambda it: _describe(it, s), "doc_id long, words binary, bands array<long>"), "described")
+    # Texts of a class have the same bands; its smallest doc_id stands for it.
+    classes = written(described.where("words IS NOT NULL AND doc_id IS NOT NULL").groupBy("words").agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands")), "classes")
+    banded = classes.select("doc_id", F.explode("bands").alias("band"))
     buckets = banded.groupBy("band").agg(F.min("doc_id").alias("a"), F.count("*").alias("n")).where("n > 1")
-    members = written(banded.join(buckets, "band").select("band", "doc_id", "a"), "members")
-    star = members.where("doc_id != a").select("a", F.col("doc_id").alias("b")).distinct()
-    links = _verified(star, signed, source, s)
+    members = written(banded.join(buckets.drop("n"), "band"), "members")
+    star = written(members.where("doc_id != a").select("a", F.col("doc_id").alias("b")).distinct(), "pairs")
+    links = _verified(star, source, s)
     found = written(components(links), "components")
     placed = members.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("band", "doc_id", "a", F.coalesce("component", "doc_id").alias("component"))
     several = placed.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high").select("band")
     open_ = written(placed.join(several, "band").select("band", "doc_id", "component"), "open")
-    parts = open_.select("band", "component").distinct()
-    meeting = parts.withColumnRenamed("component", "c").join(parts.withColumnRenamed("component", "d"), "band").where("c < d")
-    one, two = (open_.select("band", F.col("component").alias(c), F.col("doc_id").alias(x)) for c, x in ("cx", "dy"))
-    pair = meeting.join(one, ["band", "c"]).join(two, ["band", "d"])
-    across = pair.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    more = _verified(across.join(star, ["a", "b"], "left_anti"), signed, source, s)
-    if not more.isEmpty():
-        found = written(components(links.unionByName(more)), "components")
-    standing = described.select("doc_id", "words").join(classes.withColumnRenamed("doc_id", "class"), "words", "left")
-    grouped_ = standing.join(found.withColumnRenamed("node", "class"), "class", "left")
+    if not open_.isEmpty():
+        parts = open_.select("band", "component").distinct()
+        meeting = parts.withColumnRenamed("component", "c").join(parts.withColumnRenamed("component", "d"), "band").where("c < d")
+        one, two = (open_.select("band", F.col("component").alias(c), F.col("doc_id").alias(x)) for c, x in ("cx", "dy"))
+        pair = meeting.join(one, ["band", "c"]).join(two, ["band", "d"])
+        across = pair.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+        across = written(across.join(star, ["a", "b"], "left_anti"), "pairs")
+        more = _verified(across, source, s) if not across.isEmpty() else across
+        if not more.isEmpty():
+            found = written(components(links.unionByName(more)), "components")
+    grouped_classes = classes.select("words", F.col("doc_id").alias("class")).join(found.withColumnRenamed("node", "class"), "class", "left")
+    grouped_ = described.select("doc_id", "words").join(grouped_classes, "words", "left")
     group = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "class", "doc_id"))
     return grouped_.select("doc_id", group.alias("group_id"), F.coalesce(group == F.col("doc_id"), F.lit(True)).alias("kept"))
 
