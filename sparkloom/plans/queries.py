@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 from datetime import datetime
 
@@ -468,8 +470,6 @@ def w10_draw_ids(spark, sf_dir):
 def _checkpoints(spark) -> None:
     """Where the session names no folder for checkpoints (one machine), a temporary one takes its place."""
     if not spark.conf.get("spark.checkpoint.dir", None):
-        import tempfile
-
         spark.conf.set("spark.checkpoint.dir", "file://" + tempfile.mkdtemp(prefix="spark-shared-"))
     spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir"))
 
@@ -576,6 +576,54 @@ def t1_timed_batches(spark, sf_dir):
     return jobs.timed_batches(read(spark, sf_dir, "events").select("event_id", "user_id", "ts"), "user_id", "ts", 5, 6 * 3_600_000)
 
 
+def _drained(stream: DataFrame) -> DataFrame:
+    """What a stream gives for all that is there now, through files in the shared folder."""
+    spark = stream.sparkSession
+    _checkpoints(spark)
+    path = f"{spark.conf.get('spark.checkpoint.dir')}/stream-{uuid.uuid4().hex}"
+    writer = stream.writeStream.format("parquet").option("checkpointLocation", f"{path}/state").trigger(availableNow=True)
+    writer.start(f"{path}/rows").awaitTermination()
+    return spark.read.schema(stream.schema).parquet(f"{path}/rows")
+
+
+def _stream(spark, sf_dir, name) -> DataFrame:
+    """The files of the folder that have the table's name, as a stream."""
+    return spark.readStream.schema(read(spark, sf_dir, name).schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
+
+
+@registered("SELECT event_id, user_id, c_name FROM events LEFT JOIN customer ON c_custkey = user_id")
+def t2_stream_lookup(spark, sf_dir):
+    source = read(spark, sf_dir, "customer").withColumnRenamed("c_custkey", "user_id")
+    found = jobs.stream_lookup(_stream(spark, sf_dir, "events").select("event_id", "user_id"), source, "user_id")
+    return _drained(found.select("event_id", "user_id", F.col("value.c_name").alias("c_name")))
+
+
+@registered("SELECT DISTINCT user_id, event_type FROM events")
+def t3_stream_first_in_window(spark, sf_dir):
+    rows = _stream(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    return _drained(jobs.first_in_window(rows, ["user_id", "event_type"], "ts", "365 days").select("user_id", "event_type"))
+
+
+_READS_BY_KEY = """(SELECT seq, name, key, coalesce(last_at IS NOT NULL AND last_op = 'set' AND epoch_ms(ts) - epoch_ms(last_at) < 172800000, false) AS hit FROM (
+  SELECT *, last_value(CASE WHEN op <> 'get' THEN op END IGNORE NULLS) OVER w AS last_op, last_value(CASE WHEN op <> 'get' THEN ts END IGNORE NULLS) OVER w AS last_at
+  FROM (SELECT event_id AS seq, ts, 'cache' || (user_id % 3) AS name, CAST(user_id AS VARCHAR) AS key, CASE WHEN event_type = 'signup' THEN 'set' WHEN event_type = 'purchase' AND event_id % 5 = 0 THEN 'delete' ELSE 'get' END AS op FROM events)
+  WINDOW w AS (PARTITION BY name, key ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) WHERE op = 'get')"""
+
+
+@registered(f"SELECT seq, name, key, hit FROM {_READS_BY_KEY}")
+def t4_stream_ttl_reads(spark, sf_dir):
+    kind = F.col("event_type")
+    op = F.when(kind == "signup", "set").when((kind == "purchase") & (F.col("event_id") % 5 == 0), "delete").otherwise("get")
+    log = _stream(spark, sf_dir, "events").select(F.col("event_id").alias("seq"), F.col("ts").cast("timestamp").alias("ts"), F.concat(F.lit("cache"), F.col("user_id") % 3).alias("name"), F.col("user_id").cast("string").alias("key"), op.alias("op"))
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        return _drained(jobs.stream_ttl_reads(log, 172_800_000, late="365 days").select("name", "key", "seq", "hit"))
+    finally:
+        spark.conf.set(name, before)
+
+
 _EVENTS = """(SELECT event_id AS seq, 'n' || (event_id % 4) AS name, CASE WHEN event_type = 'error' THEN 'delete' WHEN event_type = 'view' THEN 'delete_prefix' WHEN event_type = 'click' AND event_id % 50 = 0 THEN 'clear' END AS op,
   'u:' || user_id AS key, 'u:' || substr(CAST(user_id AS VARCHAR), 1, CAST(1 + event_id % 2 AS INTEGER)) AS prefix FROM events)"""
 
@@ -672,8 +720,6 @@ def s11_view(spark, sf_dir):
 
 @registered("SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY o_orderstatus")
 def s12_materialized_view(spark, sf_dir):
-    import uuid
-
     _checkpoints(spark)
     folder = f"{spark.conf.get('spark.checkpoint.dir')}/view-{uuid.uuid4().hex}"
     counts = read(spark, sf_dir, "orders").groupBy("o_orderstatus").agg(F.count("*").alias("n"))
