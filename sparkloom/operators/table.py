@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..plans import predicates as P
 from ..schema import TableSpec
+from ..storage import settled
 from . import joins
 
 #: Longer lists of plain values become a table that is joined.
@@ -37,9 +38,9 @@ def numbered(rows: DataFrame, order: Sequence[Column], name: str = "_row") -> Da
     """rows with their position from 0 in a total order, without a window over all rows in one task.
 
     Rows are dealt by ranges of the order, counted in each range, and numbered in their range after the sum of the
-    ranges before. One row for each range is summed up.
+    ranges before. One row for each range is summed up. The dealt rows are a checkpoint, as ranges come from a sample.
     """
-    dealt = rows.repartitionByRange(*order).sortWithinPartitions(*order).select("*", F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().alias("_at"))
+    dealt = settled(rows.repartitionByRange(*order).sortWithinPartitions(*order).select("*", F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().alias("_at")))
     starts = dealt.groupBy("_part").agg(F.count("*").alias("_n"), F.min("_at").alias("_first"))
     before = starts.select("_part", "_first", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
     return dealt.join(F.broadcast(before), "_part").select(*[F.col(f"`{c}`") for c in rows.columns], (F.col("_before") + F.col("_at") - F.col("_first")).alias(name))

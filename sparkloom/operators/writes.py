@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..plans import predicates as P
 from ..schema import BulkNeedsSchema, TableSpec
+from ..storage import settled
 from .table import filtered
 
 
@@ -112,7 +113,7 @@ def _settled(rows: DataFrame, keys: Sequence[Sequence[str]], position: str) -> D
             null = F.greatest(*[F.col(f"`{k}`").isNull() for k in key], F.lit(False))
             low = F.min(label).over(Window.partitionBy(*_q(key)))
             after = after.withColumn(label, F.when(null, F.col(label)).otherwise(low))
-        after = after.checkpoint()
+        after = settled(after)
         if after.agg(F.sum(label)).first() == labelled.agg(F.sum(label)).first():
             labelled = after
             break
@@ -228,7 +229,7 @@ def draw_ids(rows: DataFrame, key: Sequence[str], taken: DataFrame, bits: int =
         drawn = waiting.withColumn("id", F.shiftrightunsigned(F.xxhash64(*_q(key), F.lit(seed), F.lit(k)), 64 - bits))
         first = drawn.withColumn("_n", F.row_number().over(Window.partitionBy("id").orderBy(*_q(key))))
         used = known if done is None else known.unionByName(done.select("id"))
-        marked = first.join(used.withColumn("_used", F.lit(True)), "id", "left").checkpoint()
+        marked = settled(first.join(used.withColumn("_used", F.lit(True)), "id", "left"))
         good = marked.where("_n = 1 AND _used IS NULL").select(*_q(rows.columns), "id")
         done = good if done is None else done.unionByName(good)
         waiting = marked.where("_n > 1 OR _used").select(*_q(rows.columns))

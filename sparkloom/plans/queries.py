@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 from datetime import datetime
@@ -16,6 +15,7 @@ from ..operators import checks, events, joins, lookup, writes
 from ..operators.table import Query, Table, numbered, tables
 from ..schema import ColumnSpec, TableSpec, read_schema, spec_of
 from ..sources import io, warehouse
+from ..storage import shared_dir
 from ..streaming import jobs
 from . import predicates as P
 
@@ -462,18 +462,10 @@ def w9_bulk_delete(spark, sf_dir):
 
 @registered()
 def w10_draw_ids(spark, sf_dir):
-    _checkpoints(spark)
     o = read(spark, sf_dir, "orders").select("o_orderkey")
     return writes.draw_ids(o, ["o_orderkey"], read(spark, sf_dir, "customer").select("c_custkey"), bits=40)
 
 
-def _checkpoints(spark) -> None:
-    """Where the session names no folder for checkpoints (one machine), a temporary one takes its place."""
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        spark.conf.set("spark.checkpoint.dir", "file://" + tempfile.mkdtemp(prefix="spark-shared-"))
-    spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir"))
-
-
 # --- conversion --------------------------------------------------------------------------------------------------------
 
 
@@ -579,8 +571,7 @@ def t1_timed_batches(spark, sf_dir):
 def _drained(stream: DataFrame) -> DataFrame:
     """What a stream gives for all that is there now, through files in the shared folder."""
     spark = stream.sparkSession
-    _checkpoints(spark)
-    path = f"{spark.conf.get('spark.checkpoint.dir')}/stream-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
     writer = stream.writeStream.format("parquet").option("checkpointLocation", f"{path}/state").trigger(availableNow=True)
     writer.start(f"{path}/rows").awaitTermination()
     return spark.read.schema(stream.schema).parquet(f"{path}/rows")
@@ -720,8 +711,7 @@ def s11_view(spark, sf_dir):
 
 @registered("SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY o_orderstatus")
 def s12_materialized_view(spark, sf_dir):
-    _checkpoints(spark)
-    folder = f"{spark.conf.get('spark.checkpoint.dir')}/view-{uuid.uuid4().hex}"
+    folder = f"{shared_dir(spark)}/view-{uuid.uuid4().hex}"
     counts = read(spark, sf_dir, "orders").groupBy("o_orderstatus").agg(F.count("*").alias("n"))
     return warehouse.MaterializedView(folder, counts).read(datetime(2024, 1, 1))
 

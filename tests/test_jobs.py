@@ -49,7 +49,6 @@ def test_inserts(spark, users):
 
 
 def test_insert_or_ignore_with_several_keys(spark, users):
-    spark.sparkContext.setCheckpointDir("/tmp/spark-tests-checkpoint")
     batch = spark.createDataFrame([(0, 3, "A"), (1, 3, "B"), (2, 4, "B"), (3, 5, "A"), (4, 6, "Forbes"), (5, None, "C"), (6, None, "D"), (7, 2, "Z"), (8, 4, "Y")], "pos int, id long, name string")
     batch = batch.withColumn("bio", F.lit(None).cast("string")).withColumn("age", F.lit(1))
     out = writes.insert_or_ignore(users, batch, [["id"], ["name"]], "pos")
@@ -90,7 +89,6 @@ def test_updates_and_deletes(spark, users):
 
 
 def test_drawn_ids_are_unique(spark):
-    spark.sparkContext.setCheckpointDir("/tmp/spark-tests-checkpoint")
     out = writes.draw_ids(spark.range(600).withColumnRenamed("id", "k"), ["k"], spark.range(300), bits=12)
     drawn = [r["id"] for r in out.collect()]
     assert len(drawn) == 600 == len(set(drawn)) and all(300 <= x < 4096 for x in drawn)
