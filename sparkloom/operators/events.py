@@ -4,11 +4,28 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .table import numbered
 
-def ttl_reads(events: DataFrame, ttl_ms: int | None = None) -> DataFrame:
+
+def _latest(events: DataFrame, by: Sequence[str], value: Column, name: str, span: int, last_row: int) -> DataFrame:
+    """events with the greatest value of the rows before (up to last_row: 0 this one, -1 the one before) with the same `by`.
+
+    Rows are gone through in spans of seq, so that a key with a third of all rows is many tasks: the greatest value of earlier
+    spans comes from one row for each key and span, and is joined with the running one inside the span.
+    """
+    spans = events.withColumn("_span", F.floor(F.col("seq") / span)).withColumn("_value", value)
+    whole = spans.groupBy(*by, "_span").agg(F.max("_value").alias("_max"))
+    earlier = Window.partitionBy(*by).orderBy("_span").rowsBetween(Window.unboundedPreceding, -1)
+    before = whole.select(*by, "_span", F.max("_max").over(earlier).alias("_before"))
+    here = Window.partitionBy(*by, "_span").orderBy("seq").rowsBetween(Window.unboundedPreceding, last_row)
+    joined = spans.join(before, [*by, "_span"], "left").withColumn("_here", F.max("_value").over(here))
+    return joined.withColumn(name, F.greatest("_before", "_here")).drop("_span", "_value", "_before", "_here")
+
+
+def ttl_reads(events: DataFrame, ttl_ms: int | None = None, span: int = 1_000_000) -> DataFrame:
     """Each `get` of a log (seq, ts, name, key, op) with whether it hits.
 
     A get hits if the last set, delete or clear before it (in seq order) is a set that has not expired. A set lives
@@ -16,20 +33,18 @@ def ttl_reads(events: DataFrame, ttl_ms: int | None = None) -> DataFrame:
     Clears are brought in by a running maximum per name, so no key is paired with them.
     """
     times = F.col("ts").cast("timestamp")
-    by_name = Window.partitionBy("name").orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)
-    by_key = Window.partitionBy("name", "key").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
-    cleared = events.withColumn("_cleared", F.max(F.when(F.col("op") == "clear", F.col("seq"))).over(by_name))
-    change = F.when(F.col("op").isin("set", "delete"), F.struct("op", "seq", times.alias("at")))
-    seen = cleared.where("op != 'clear'").withColumn("_last", F.last(change, ignorenulls=True).over(by_key)).where("op = 'get'")
+    cleared = _latest(events, ["name"], F.when(F.col("op") == "clear", F.col("seq")), "_cleared", span, 0)
+    change = F.when(F.col("op").isin("set", "delete"), F.struct("seq", "op", times.alias("at")))
+    seen = _latest(cleared.where("op != 'clear'"), ["name", "key"], change, "_last", span, -1).where("op = 'get'")
     fresh = F.lit(True) if ttl_ms is None else F.unix_millis(times) < F.unix_millis(F.col("_last.at")) + ttl_ms
     hit = (F.col("_last.op") == "set") & (F.col("_last.seq") > F.coalesce("_cleared", F.lit(-1))) & fresh
-    return seen.withColumn("hit", F.coalesce(hit, F.lit(False))).drop("_last", "_cleared")
+    return seen.withColumn("hit", F.coalesce(hit, F.lit(False))).select(*events.columns, "hit")
 
 
 def hit_rates(reads: DataFrame, block: int = 100) -> DataFrame:
     """The share of hits in each full block of consecutive gets of a name."""
-    at = F.floor((F.row_number().over(Window.partitionBy("name").orderBy("seq")) - 1) / block)
-    blocks = reads.withColumn("block", at).groupBy("name", "block").agg(F.count("*").alias("n"), F.sum(F.col("hit").cast("int")).alias("hits"))
+    at = numbered(reads.select("name", "seq", "hit"), [F.col("seq")], "_at", ["name"])
+    blocks = at.groupBy("name", F.floor(F.col("_at") / block).alias("block")).agg(F.count("*").alias("n"), F.sum(F.col("hit").cast("int")).alias("hits"))
     return blocks.where(F.col("n") == block).select("name", "block", (100.0 * F.col("hits") / F.col("n")).alias("hit_percent"))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -63,10 +63,7 @@ def lookup_lists(requests: DataFrame, rows: DataFrame, key: str, position: str,
 
 def chunks(requests: DataFrame, size: int, order: Sequence[Column], group: Sequence[str] = ()) -> DataFrame:
     """requests with a number `chunk` from 0: at most `size` in a row, in order, in each group."""
-    if group:
-        at = F.row_number().over(Window.partitionBy(*group).orderBy(*order)) - 1
-        return requests.withColumn("chunk", F.floor(at / size))
-    return numbered(requests, order).withColumn("chunk", F.floor(F.col("_row") / size)).drop("_row")
+    return numbered(requests, order, "_row", group).withColumn("chunk", F.floor(F.col("_row") / size)).drop("_row")
 
 
 def call_once(rows: DataFrame, key: Column, fn: Callable, result: T.DataType, should_store: Callable[[object], bool] | None = None, stored: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:

@@ -34,16 +34,21 @@ def ordering(column: str, descending: bool, dialect: str) -> Column:
     return c.desc_nulls_last() if descending else c.asc_nulls_first()
 
 
-def numbered(rows: DataFrame, order: Sequence[Column], name: str = "_row") -> DataFrame:
-    """rows with their position from 0 in a total order, without a window over all rows in one task.
+def numbered(rows: DataFrame, order: Sequence[Column], name: str = "_row", group: Sequence[str] = ()) -> DataFrame:
+    """rows with their position from 0 in a total order (of their group), without a window over all of them in one task.
 
-    Rows are dealt by ranges of the order, counted in each range, and numbered in their range after the sum of the
-    ranges before. One row for each range is summed up. The dealt rows are a checkpoint, as ranges come from a sample.
+    Rows are dealt by ranges of group and order, counted in each range, and numbered in their range after the sum of the
+    ranges before. One row for each group and range is summed up. The dealt rows are a checkpoint, as ranges come from a sample.
     """
-    dealt = settled(rows.repartitionByRange(*order).sortWithinPartitions(*order).select("*", F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().alias("_at")))
-    starts = dealt.groupBy("_part").agg(F.count("*").alias("_n"), F.min("_at").alias("_first"))
-    before = starts.select("_part", "_first", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
-    return dealt.join(F.broadcast(before), "_part").select(*[F.col(f"`{c}`") for c in rows.columns], (F.col("_before") + F.col("_at") - F.col("_first")).alias(name))
+    keys = [*[F.col(f"`{g}`") for g in group], *order]
+    dealt = settled(rows.repartitionByRange(*keys).sortWithinPartitions(*keys).select("*", F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().alias("_at")))
+    starts = dealt.groupBy(*group, "_part").agg(F.count("*").alias("_n"), F.min("_at").alias("_first"))
+    ahead = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    before = starts.select(*[F.col(f"`{g}`").alias(f"_g{i}") for i, g in enumerate(group)], F.col("_part").alias("_p"), "_first", F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_before"))
+    on = F.col("_part") == F.col("_p")
+    for i, g in enumerate(group):
+        on = on & F.col(f"`{g}`").eqNullSafe(F.col(f"_g{i}"))
+    return dealt.join(before if group else F.broadcast(before), on).select(*[F.col(f"`{c}`") for c in rows.columns], (F.col("_before") + F.col("_at") - F.col("_first")).alias(name))
 
 
 @dataclass(frozen=True)
