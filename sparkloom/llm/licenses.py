@@ -63,6 +63,7 @@ LICENSES = {
     ),
     "CC-BY-NC-4.0-notice": "Licensed under CC BY-NC 4.0",
     "CC-BY-4.0-notice": "licensed under a Creative Commons Attribution 4.0 International License",
+    "All-rights-reserved": "All rights reserved",
     "CC0-1.0-notice": "dedicated to the public domain under CC0 1.0 Universal",
 }
 

@@ -1,16 +1,17 @@
 """Removal of repeated passages by content-defined line chunks.
 
-Units: a text is cut into lines, a line after sentence ends, and a unit of over 24 words every 12 words. Chunks: a
-rolling hash over the hashes of the last two units ends a chunk where it is divisible by `divisor`, so equal passages get
-equal boundaries wherever they stand. A line that is long enough to be a chunk (two units, `min_words` words) always
-begins and ends one. A chunk of one unit is joined with what follows, or at the end of a line with what came before.
+Units: a text is cut into lines, a line after sentence ends, and a unit of over 12 words every 8 words. Boundaries: a
+rolling hash over the hashes of the last two units of a line makes a boundary after two of three units, and each line begins and ends
+with one, so equal passages get equal boundaries wherever they stand. Chunks: from each boundary to the first one that
+is at least two units and `min_words` words away. Chunks may overlap, so a short passage holds whole chunks whatever stands before it.
 
-A chunk of at least two units and `min_words` words that occurs again anywhere is removed, except at its first place
-(smallest doc_id, then place in the text). Chunks are grouped by a 128-bit digest and compared byte by byte:
-the smallest and the largest text of a group must be the same; if not, nothing of the group is removed.
+A chunk that occurs again anywhere is removed, except at its first place (smallest doc_id, then place in the text).
+Chunks are grouped by a 128-bit digest and compared byte by byte: a group must hold one text only; if it holds more, nothing
+of it is removed.
 
-Scale: chunk texts are shuffled once, summed up before the shuffle, so a passage that a third of all texts share costs one row for
-each task. Places of repeated chunks are joined with the texts by one shuffle more.
+Scale: digests are counted first, after a sum in each task; places of repeated ones are joined with the texts, and the bytes there
+are compared, equal ones of a task having become one, so a passage that a third of all texts share costs one row for each task. The largest
+shuffle is the texts once, with the bytes at repeated places. Units, boundaries and digests of many texts are computed at once with arrays.
 
 Edge cases: null texts stay null, empty ones empty. A text whose chunks are all removed becomes what is left, maybe
 empty; its row stays. Rows with equal doc_id and text count as one document and are changed alike. A null doc_id comes
@@ -19,106 +20,155 @@ before all others. All other columns are kept; n_chars, if there, becomes the ne
 
 from __future__ import annotations
 
-import hashlib
-import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .store import written
+from .words import GROUP_BYTES, mix
 
-_ENDS = re.compile(r"\n|[.!?]+ ")
-_WORD = re.compile(r"\S+\s*")
-LONG, CUT = 24, 12
+LONG, CUT = 12, 8
+#: Odd bases of the two polynomial hashes of bytes, and their inverses modulo 2**64.
+BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
+INVERSES = tuple(pow(b, -1, 1 << 64) for b in BASES)
 
 
 @dataclass(frozen=True)
 class Settings:
-    divisor: int = 2
+    divisor: int = 3  # after one of so many units there is no boundary
     min_words: int = 12
 
 
-def units(text: str) -> list[tuple[int, int, int]]:
-    """Start, end and words of each unit; units stand side by side and cover the text."""
-    out, start = [], 0
-    ends = [m.end() for m in _ENDS.finditer(text)]
-    if not ends or ends[-1] < len(text):
-        ends.append(len(text))
-    for end in ends:
-        n = len(text[start:end].split())
-        if n > LONG:
-            word_ends = [m.end() for m in _WORD.finditer(text, start, end)]
-            for stop in [*word_ends[CUT - 1 : -CUT // 2 : CUT], end]:
-                out.append((start, stop, len(text[start:stop].split())))
-                start = stop
-        elif end > start:
-            out.append((start, end, n))
-        start = end
-    return out
-
-
-def chunks(text: str, s: Settings) -> list[tuple[int, int, int, int]]:
-    """Start, end, units and words of each chunk; chunks stand side by side and cover the text."""
-    parts = units(text)
-    lines, line = [], []
-    for part in parts:
-        line.append(part)
-        if text[part[1] - 1] == "\n":
-            lines.append(line)
-            line = []
-    if line:
-        lines.append(line)
-    out, open_, before = [], [], 0
-
-    def close() -> None:
-        if open_:
-            out.append((open_[0][0], open_[-1][1], len(open_), sum(p[2] for p in open_)))
-            open_.clear()
-
-    for line in lines:
-        alone = len(line) > 1 and sum(p[2] for p in line) >= s.min_words
-        if alone:
-            close()
-            before = 0
-        first = len(out)
-        for part in line:
-            now = xxhash.xxh3_64_intdigest(text[part[0] : part[1]].strip().encode("utf-8", "surrogatepass"))
-            open_.append(part)
-            if xxhash.xxh3_64_intdigest(b"%d %d" % (before, now)) % s.divisor == 0 and len(open_) > 1:
-                close()
-            before = now
-        if alone:
-            if len(open_) == 1 and len(out) > first:
-                a, _, n, words = out.pop()
-                out.append((a, open_[0][1], n + 1, words + open_[0][2]))
-                open_.clear()
-            close()
-            before = 0
-    close()
-    return out
-
-
-def _chunked(batches: Iterator[pd.DataFrame], s: Settings, with_text: bool) -> Iterator[pd.DataFrame]:
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, dtype=np.uint64)
+    out[0] = 1
+    return np.multiply.accumulate(out)
+
+
+class _Hashes:
+    """Hashes of any range of data."""
+
+    def __init__(self, data: np.ndarray):
+        n = len(data) + 1
+        values = data.astype(np.uint64) + np.uint64(1)
+        zero = np.zeros(1, dtype=np.uint64)
+        self.sums = [np.concatenate((zero, np.cumsum(values * _powers(b, n)[:-1], dtype=np.uint64))) for b in BASES]
+        self.back = [_powers(b, n) for b in INVERSES]
+
+    def of(self, start: np.ndarray, stop: np.ndarray, k: int) -> np.ndarray:
+        return mix((self.sums[k][stop] - self.sums[k][start]) * self.back[k][start] + (stop - start).astype(np.uint64))
+
+
+def chunks(texts: list[bytes], s: Settings) -> dict[str, np.ndarray]:
+    """text, start and stop of each chunk in its text, begin and end of its bytes without white space around them (in all texts
+    side by side), and its digest in two parts."""
+    data = np.frombuffer(b"".join(texts), dtype=np.uint8)
+    ends = np.cumsum([len(t) for t in texts])
+    none = {c: np.zeros(0, dtype=np.int64) for c in ("text", "start", "stop", "begin", "end", "high", "low")}
+    if not len(data):
+        return none
+    first = np.zeros(len(data), dtype=bool)
+    first[(ends - [len(t) for t in texts])[[len(t) > 0 for t in texts]]] = True
+    before = np.concatenate(([0], data[:-1]))
+    before[first] = 0
+    space = (data == 32) | (data >= 9) & (data <= 13)
+    word = ~space & ((before == 32) | (before >= 9) & (before <= 13) | first)
+    line = data == 10
+    cut = line | (data == 32) & ((before == 46) | (before == 33) | (before == 63))
+    begins = np.concatenate((first, [True])) | np.concatenate(([False], cut))  # where units begin; the last is the end
+    starts = np.flatnonzero(begins)
+    words = np.concatenate(([0], np.cumsum(word)))
+    # Long units are cut at every CUT-th word, but not shortly before their end.
+    place = np.flatnonzero(word)
+    unit = np.searchsorted(starts, place, side="right") - 1
+    nth = np.arange(len(place)) - words[starts[unit]]
+    n = words[starts[unit + 1]] - words[starts[unit]]
+    begins[place[(n > LONG) & (nth > 0) & (nth % CUT == 0) & (n - nth >= CUT // 2)]] = True
+    starts = np.flatnonzero(begins)
+    a, b = starts[:-1], starts[1:]
+    # Bytes of a range without white space around it: its first byte that is none, and the end of its last.
+    solid = np.flatnonzero(~space)
+    if not len(solid):
+        return none
+    after_last = np.concatenate(([0], np.maximum.accumulate(np.where(space, 0, np.arange(1, len(data) + 1)))))
+    next_solid = np.append(solid, len(data))
+
+    def bare(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        left = np.minimum(next_solid[np.searchsorted(solid, x)], y)
+        return left, np.maximum(after_last[y], left)
+
+    hashes = _Hashes(data)
+    own = hashes.of(*bare(a, b), 0)
+    new_line = np.concatenate(([True], line[b[:-1] - 1] | first[a[1:]]))  # the unit begins a line
+    last = np.where(new_line, np.uint64(0), np.concatenate((own[:1], own[:-1])))
+    rolled = mix(last * np.uint64(BASES[1]) + own)
+    boundary = np.concatenate(([True], (rolled % np.uint64(s.divisor) != 0) | np.append(new_line[1:], True)))  # before unit i
+    at = np.flatnonzero(boundary)
+    total = words[starts]
+    text_of = np.searchsorted(ends, starts[:-1], side="right")
+    begin = at[:-1]
+    enough = np.maximum(begin + 2, np.searchsorted(total, total[begin] + s.min_words))
+    stop = at[np.minimum(np.searchsorted(at, enough), len(at) - 1)]
+    text_stop = np.searchsorted(starts, ends[text_of[begin]])  # the first unit after the text
+    stop = np.minimum(stop, text_stop)
+    good = (stop - begin >= 2) & (total[stop] - total[begin] >= s.min_words)
+    begin, stop = begin[good], stop[good]
+    x, y = starts[begin], starts[stop]
+    left, right = bare(x, y)
+    text = text_of[begin]
+    base = ends[text] - np.array([len(t) for t in texts])[text]
+    return {"text": text, "start": x - base, "stop": y - base, "begin": left, "end": right, "high": hashes.of(left, right, 0).view(np.int64), "low": hashes.of(left, right, 1).view(np.int64)}
+
+
+def _groups(texts: Iterable[str | None]) -> Iterator[list[bytes]]:
+    group: list[bytes] = []
+    size = 0
+    for text in texts:
+        one = b"" if text is None else text.encode("utf-8", "surrogatepass")
+        if group and size + len(one) > GROUP_BYTES:
+            yield group
+            group, size = [], 0
+        group.append(one)
+        size += len(one)
+    if group:
+        yield group
+
+
+def _digests(batches: Iterator[pd.DataFrame], s: Settings) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        out = []
-        for doc, key, text in zip(batch["doc_id"], batch["key"], batch["text"], strict=True):
-            for a, b, n, words in chunks(text, s) if text else ():
-                if n > 1 and words >= s.min_words:
-                    body = text[a:b].strip().encode("utf-8", "surrogatepass")
-                    out.append((doc, key, a, b, hashlib.blake2b(body, digest_size=16).digest(), body if with_text else None))
-            if len(out) >= 5000:
-                yield _frame(out, with_text)
-                out = []
-        yield _frame(out, with_text)
+        for group in _groups(batch["text"]):
+            yield pd.DataFrame({"high": chunks(group, s)["high"]})
 
 
-def _frame(rows: list, with_text: bool) -> pd.DataFrame:
-    found = pd.DataFrame(rows, columns=["doc_id", "key", "start", "stop", "digest", "body"]).astype({"doc_id": "Int64"})
-    return found if with_text else found.drop(columns="body")
+def _places(batches: Iterator[pd.DataFrame], s: Settings) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        at = 0
+        for group in _groups(batch["text"]):
+            found = chunks(group, s)
+            row = at + found["text"]
+            ends = np.cumsum([len(t) for t in group])
+            base = (ends - [len(t) for t in group])[found["text"]]
+            where = {"start": found["start"], "stop": found["stop"], "begin": found["begin"] - base, "end": found["end"] - base}
+            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64").array[row], "key": batch["key"].to_numpy()[row], "high": found["high"], "low": found["low"]} | {c: v.astype(np.int32) for c, v in where.items()})
+            at += len(group)
+
+
+def _cut(texts: pd.Series, spans: pd.Series) -> pd.Series:
+    out = []
+    for text, gone in zip(texts, spans, strict=True):
+        if text is not None and gone is not None:
+            data, kept, at = text.encode("utf-8", "surrogatepass"), [], 0
+            for span in gone:
+                if span["start"] > at:
+                    kept.append(data[at : span["start"]])
+                at = max(at, span["stop"])
+            text = b"".join([*kept, data[at:]]).decode("utf-8", "surrogatepass")
+        out.append(text)
+    return pd.Series(out, dtype=object)
 
 
 def without_repeats(docs: DataFrame, settings: Settings = Settings(), count: str | None = None) -> DataFrame:
@@ -126,31 +176,25 @@ def without_repeats(docs: DataFrame, settings: Settings = Settings(), count: str
     s = settings
     key = F.xxhash64("doc_id", "text").alias("key")
     keyed = docs.select("doc_id", key, "text")
-    places = "doc_id long, key long, start long, stop long, digest binary"
-    full = keyed.mapInPandas(lambda it: _chunked(it, s, True), places + ", body binary")
-    first = F.min(F.struct("doc_id", "key", "start"))
-    same = full.groupBy("digest").agg(F.count("*").alias("n"), F.min("body").alias("low"), F.max("body").alias("high"), first.alias("first"))
-    repeated = written(same.where("n > 1 AND low = high").select("digest", "first"), "repeated")
-    narrow = keyed.mapInPandas(lambda it: _chunked(it, s, False), places)
-    again = narrow.join(repeated, "digest").where(~F.struct("doc_id", "key", "start").eqNullSafe(F.col("first")))
+    # Digests that come twice, then their places, then the bytes at those places.
+    often = keyed.select("text").mapInPandas(lambda it: _digests(it, s), "high long").groupBy("high").agg(F.count("*").alias("n")).where("n > 1").select("high")
+    often = written(often, "digests")
+    places = keyed.mapInPandas(lambda it: _places(it, s), "doc_id long, key long, high long, low long, start int, stop int, begin int, end int")
+    spots = F.collect_set(F.struct("high", "low", "start", "stop", "begin", "end")).alias("spots")
+    spotted = written(places.join(often, "high", "left_semi").groupBy("doc_id", "key").agg(spots), "places")
+    texts = keyed.where("text IS NOT NULL").withColumnsRenamed({"doc_id": "_id", "key": "_key"})
+    there = spotted.join(texts, spotted["doc_id"].eqNullSafe(texts["_id"]) & (spotted["key"] == texts["_key"]))
+    body = F.expr("transform(spots, x -> struct(x.high, x.low, x.start, substring(CAST(text AS BINARY), x.begin + 1, x.end - x.begin) AS body))")
+    bodies = there.select("doc_id", "key", F.inline(body))
+    same = bodies.groupBy("high", "low").agg(F.collect_set("body").alias("bodies"), F.min(F.struct("doc_id", "key", "start")).alias("first"))
+    repeated = written(same.where("size(bodies) = 1").select("high", "low", "first"), "repeated")
+    again = spotted.select("doc_id", "key", F.inline("spots")).join(repeated, ["high", "low"]).where(~F.struct("doc_id", "key", "start").eqNullSafe(F.col("first")))
     spans = again.groupBy("doc_id", "key").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
     spans = spans.select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), F.array_sort("spans").alias("_spans"))
 
-    def cut(texts: pd.Series, spans: pd.Series) -> pd.Series:
-        out = []
-        for text, gone in zip(texts, spans, strict=True):
-            if text is not None and gone is not None:
-                kept, at = [], 0
-                for span in gone:
-                    kept.append(text[at : span["start"]])
-                    at = span["stop"]
-                text = "".join([*kept, text[at:]])
-            out.append(text)
-        return pd.Series(out, dtype=object)
-
     side = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("_doc"), F.xxhash64("doc_id", "text").alias("_row"))
     joined = side.join(spans, F.col("_doc").eqNullSafe(F.col("_id")) & (F.col("_row") == F.col("_key")), "left")
-    text = F.when(F.col("_spans").isNull(), F.col("row.text")).otherwise(F.pandas_udf(cut, "string")("row.text", "_spans")).alias("text")
+    text = F.when(F.col("_spans").isNull(), F.col("row.text")).otherwise(F.pandas_udf(_cut, "string")("row.text", "_spans")).alias("text")
     changed = joined.select("row", text, F.coalesce(F.size("_spans"), F.lit(0)).alias("removed"))
     kinds = {f.name: f.dataType for f in docs.schema.fields}
     columns = [F.col("text") if c == "text" else F.when(F.col("removed") > 0, F.char_length("text")).otherwise(F.col("row.n_chars")).cast(kinds[c]).alias(c) if c == "n_chars" else F.col(f"row.`{c}`") for c in docs.columns]

@@ -232,28 +232,45 @@ def test_line_dedup_cuts_passages_wherever_they_stand(spark):
     out = {r["doc_id"]: r for r in line_dedup.line_dedup(docs).collect()}
     assert out[0]["text"] == rows[0][1] and out[9]["text"] == rows[-1][1]
     for i in range(1, 6):
-        assert out[i]["text"] == rows[i][1].replace(passage + "\n", "") and out[i]["n_removed"] >= 1
+        assert out[i]["text"] == rows[i][1].replace(passage + "\n", "") and out[i]["n_removed"] >= 1, i
 
 
 def test_line_dedup_against_plain_version(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
-    s, seen, first = line_dedup.Settings(), {}, {}
-    rows = [(r["doc_id"], r["text"]) for r in docs.orderBy("doc_id").collect()]
-    cut = {d: [c for c in line_dedup.chunks(t, s) if c[2] > 1 and c[3] >= s.min_words] for d, t in rows}
-    for d, t in rows:
-        assert [t[a:b] for a, b, _, _ in line_dedup.chunks(t, s)] and "".join(t[a:b] for a, b, _, _ in line_dedup.chunks(t, s)) == t
-        for a, b, _, _ in cut[d]:
-            first.setdefault(t[a:b].strip(), (d, a))
+    s, first = line_dedup.Settings(), {}
+    rows = [(r["doc_id"], r["text"].encode()) for r in docs.orderBy("doc_id").collect()]
+    found = line_dedup.chunks([t for _, t in rows], s)  # all texts side by side
+    data = b"".join(t for _, t in rows)
+    spans = [[] for _ in rows]
+    for k, a, b, x, y in zip(*[found[c].tolist() for c in ("text", "start", "stop", "begin", "end")], strict=True):
+        assert rows[k][1][a:b].strip() == data[x:y] and len(data[x:y].split()) >= s.min_words - 1
+        spans[k].append((a, b, data[x:y]))
+    for (d, t), own in zip(rows, spans, strict=True):
+        alone = line_dedup.chunks([t], s)
+        assert list(zip(alone["start"].tolist(), alone["stop"].tolist(), strict=True)) == [(a, b) for a, b, _ in own]
+        for a, _, body in own:
+            first.setdefault(body, (d, a))
     expected = {}
-    for d, t in rows:
-        gone = [(a, b) for a, b, _, _ in cut[d] if first[t[a:b].strip()] != (d, a)]
+    for (d, t), own in zip(rows, spans, strict=True):
         keep, at = [], 0
-        for a, b in gone:
-            keep.append(t[at:a])
-            at = b
-        expected[d] = "".join(keep) + t[at:]
+        for a, b, body in own:
+            if first[body] != (d, a):
+                keep.append(t[at : max(a, at)])
+                at = max(at, b)
+        expected[d] = (b"".join(keep) + t[at:]).decode()
     assert {r["doc_id"]: r["text"] for r in line_dedup.line_dedup(docs).collect()} == expected
-    assert any(expected[d] != t for d, t in rows)
+    assert any(expected[d] != t.decode() for d, t in rows)
+
+
+@pytest.mark.parametrize("place", ["{a} {p}", "{a} {p} {b}", "{p} {b}", "{a}\n{p}\n{b}"])
+def test_passages_inside_lines_are_found(spark, place):
+    passage = " ".join(prose(700 + k, 14).capitalize() + "." for k in range(5))
+    rows = [(i, place.format(a=prose(i, 40).capitalize() + ".", b=prose(60 + i, 40).capitalize() + ".", p=passage)) for i in range(8)]
+    out = {r["doc_id"]: r["text"] for r in line_dedup.line_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert out[0] == rows[0][1]
+    for i in range(1, 8):
+        assert len(out[i].split()) <= len(rows[i][1].split()) - 35
+        assert prose(i, 40).split()[5] in out[i] or "{a}" not in place
 
 
 def test_line_dedup_edges(spark, odd):
