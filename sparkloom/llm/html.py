@@ -41,25 +41,35 @@ _BAD = re.compile(
     re.I,
 )
 _GOOD = re.compile(r"(?:^|[\s_-])(?:article|body|content|entry|main|post|story|text|blog|hentry)(?:$|[\s_-])", re.I)
+_ANSWER = re.compile(r"(?:^|[\s_-])(?:comments?|commentlist|discussion|disqus|respond|responses|replies|reply)(?:$|[\s_-])", re.I)
+_UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
+_HUMP = re.compile("([a-z])([A-Z])")
+#: What a wrapper has or lacks is no name of the wrapper itself.
+_ABOUT = ("has-", "has_", "no-", "with-", "without-", "is-")
 _BAD_ROLE = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "alert", "alertdialog", "dialog", "menu", "menubar", "toolbar"}
 
 
+def _names(attrs: dict[str, str | None]) -> str:
+    found = " ".join(filter(None, (attrs.get("class"), attrs.get("id"))))
+    return " ".join(t for t in _HUMP.sub(r"\1-\2", found).split() if not t.lower().startswith(_ABOUT)) if found else ""
+
+
 class Node:
-    __slots__ = ("tag", "parent", "children", "dropped", "bonus", "points", "length", "linked")
+    __slots__ = ("tag", "parent", "children", "dropped", "by_name", "bonus", "points", "length", "linked")
 
     def __init__(self, tag: str, parent: Node | None, attrs: dict[str, str | None] | None = None):
         self.tag, self.parent, self.children, self.points = tag, parent, [], 0.0
-        named = " ".join(filter(None, ((attrs or {}).get("class"), (attrs or {}).get("id"))))
-        good = tag in ("article", "main") or bool(_GOOD.search(named))
-        self.bonus = 25.0 * (tag in ("article", "main")) + 15.0 * bool(named and _GOOD.search(named))
-        self.dropped = (
-            tag in DROPPED
-            or tag == "header" and not any(a.tag in ("article", "main") for a in self.above())
-            or bool(attrs) and (tag not in ("html", "body"))
-            and ("hidden" in attrs or (attrs.get("role") or "").lower() in _BAD_ROLE or (attrs.get("aria-hidden") or "").lower() == "true" or bool(re.search(r"display\s*:\s*none", attrs.get("style") or "", re.I)) or bool(named and _BAD.search(named) and not (good and tag in ("article", "main"))))
-        )
-        if tag == "article" and named and re.search(r"comment|reply|respons", named, re.I):
-            self.dropped = True
+        attrs = attrs or {}
+        named = _names(attrs)
+        article = tag in ("article", "main")
+        good = bool(named and _GOOD.search(named))
+        self.bonus = 25.0 * article + 15.0 * good
+        self.dropped = tag in DROPPED or tag == "header" and not any(a.tag in ("article", "main") for a in self.above())
+        if attrs and tag not in ("html", "body") and not self.dropped:
+            self.dropped = "hidden" in attrs or (attrs.get("role") or "").lower() in _BAD_ROLE or (attrs.get("aria-hidden") or "").lower() == "true" or bool(_UNSEEN.search(attrs.get("style") or ""))
+            self.dropped = self.dropped or bool(named) and bool(_ANSWER.search(named)) and not (tag == "main")
+        self.by_name = not self.dropped and bool(named) and tag not in ("html", "body") and bool(_BAD.search(named)) and not (article and good)
+        self.dropped = self.dropped or self.by_name
 
     def above(self) -> Iterator[Node]:
         node = self.parent
@@ -179,6 +189,27 @@ def extract(html: str | None) -> str:
     if not html:
         return ""
     root = parse(html)
+    found = _best(root)
+    if not found:  # a name that sounds like a side part can be that of the whole page
+        nodes = _all(root)
+        for node in nodes:
+            node.points = 0.0
+            if node.tag in ("article", "main", "h1"):
+                for a in (node, *node.above()):
+                    a.dropped = a.dropped and not a.by_name
+        found = _best(root)
+    return found
+
+
+def _all(root: Node) -> list[Node]:
+    out, stack = [], [root]
+    while stack:
+        out.append(stack.pop())
+        stack += [c for c in out[-1].children if isinstance(c, Node)]
+    return out
+
+
+def _best(root: Node) -> str:
     nodes = [n for n in _score(root) if n.tag in BLOCK and n.tag not in ("p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "tr")]
     best = max(nodes, key=_value, default=None)
     if best is None or not root.length:
