@@ -90,4 +90,27 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(h.n_hit, 0)
        CAST(coalesce(t.n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(t.names, '')) AS items_sha256,
        coalesce(h.n_hit, 0) > 0 AS contaminated
 FROM doc_words d LEFT JOIN hit h USING (r) LEFT JOIN items t USING (r)""",
+    "op3_near_duplicates": rf"""
+WITH RECURSIVE doc_words AS (SELECT doc_id, coalesce({_WORDS}, []) AS w FROM documents),
+shingles AS (
+  SELECT doc_id, array_to_string(w[i : i + 4], ' ') AS s, count(*) AS n
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM doc_words WHERE len(w) > 0) GROUP BY ALL),
+totals AS (SELECT doc_id, sum(n) AS t FROM shingles GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS a, b.doc_id AS b, sum(least(a.n, b.n)) AS x FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM shared JOIN totals p ON p.doc_id = a JOIN totals q ON q.doc_id = b WHERE x / CAST(p.t + q.t - x AS DOUBLE) >= 0.8),
+edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reached(n, m) AS (SELECT doc_id, doc_id FROM doc_words UNION SELECT e.b, r.m FROM reached r JOIN edges e ON e.a = r.n)
+SELECT n AS doc_id, min(m) AS group_id, min(m) = n AS kept FROM reached GROUP BY n""",
+    "op10_chat": r"""
+WITH said AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok' UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'),
+turns AS (
+  SELECT *, CASE WHEN role = 'assistant' THEN text ELSE '' END AS learned,
+         12 + length(regexp_replace(replace(replace(role, '\', '\\'), chr(10), '\n'), '<(\\*)\|', '<\\\1|', 'g')) + 1
+         + length(regexp_replace(text, '<(\\*)\|', '<\\\1|', 'g')) + 11 AS formatted FROM said)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(sum(length(learned)) AS BIGINT) AS loss_chars, sha256(string_agg(learned, '' ORDER BY turn, role, text)) AS loss_sha256,
+       CAST(sum(formatted) AS BIGINT) AS formatted_chars
+FROM turns GROUP BY conv_id""",
 }
