@@ -2,21 +2,43 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .store import written
 
 
+def _forest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """A task's own edges as stars: each node with the smallest that it is linked to there."""
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while (up := parent.setdefault(x, x)) != x:
+            parent[x] = x = parent[up]
+        return x
+
+    for batch in batches:
+        for a, b in zip(batch["a"].tolist(), batch["b"].tolist(), strict=True):
+            a, b = root(a), root(b)
+            if a != b:
+                parent[max(a, b)] = min(a, b)
+    pairs = [(x, root(x)) for x in list(parent)]
+    yield pd.DataFrame([p for p in pairs if p[0] != p[1]], columns=["a", "b"]).astype("int64")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """edges (a long, b long, a != b) to (node, component): component is the smallest node that node is linked to.
 
     Alternating large and small stars (Kiveris and others): each step links a node's larger neighbours, then
     its smaller ones, to its smallest neighbour. A node's neighbours are never gathered in a row: the smallest is an
-    aggregate that is joined back. Steps end when no node that others are linked to is linked itself; each step's edges
+    aggregate that is joined back. Before the first step each task brings its own edges to stars. Steps end when no node that others are linked to is linked itself; each step's edges
     are a written table. An empty table gives an empty table.
     """
-    now = written(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b").distinct(), "edges")
+    larger = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b")
+    now = written(larger.mapInPandas(_forest, "a long, b long").distinct(), "edges")
     while not _stars(now):
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))

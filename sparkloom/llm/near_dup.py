@@ -11,11 +11,13 @@ similarity. Only the ranks that are needed to fill all coordinates are looked at
 
 Steps: (1) texts with equal words fall into one class, whose smallest doc_id stands for it; (2) classes with an equal
 band of `rows` coordinates meet; the smallest of a bucket is compared with each of the others; (3) linked classes
-become components; (4) where a bucket still holds several components, all pairs across them are compared as well, so
-that no pair that shares a bucket stays unchecked unless already connected. A comparison counts the shingles of both texts.
+become components; (4) where a bucket still holds several components, the pairs across them are looked at as well, so
+that no pair that shares a bucket stays unchecked unless already connected: first by signature inside the task that holds them (pairs whose agreement is
+4.5 standard errors under 0.8 go), the rest like those before. A comparison counts the shingles of both texts, each shingle being a 64-bit hash.
 
-Scale: what is shuffled is bands of classes, and texts of candidate pairs only. A bucket of a large group
-costs one row for each member. Buckets are never gathered. Step 4 costs one row for each pair across components.
+Scale: what is shuffled is bands of classes, and shingles of candidate pairs only. A bucket of a large group
+costs one row for each member. In step 4 a bucket is cut into blocks of about `block` members, and a task compares two blocks at a time: no
+pair is a row unless its signatures agree, and no bucket is gathered.
 
 Edge cases: null and empty texts, and texts without words, are in no group (each is its own). Repeated rows and equal
 doc_ids with equal words fall into one class; of several texts under one doc_id one is compared. A null doc_id takes no
@@ -25,6 +27,7 @@ part: its group is null and it is kept. Other columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import itertools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -47,6 +50,7 @@ class Settings:
     similarity: float = 0.8
     bands: int = 24
     rows: int = 6
+    block: int = 512
 
 
 def shingles(words: Words, n_texts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -133,7 +137,8 @@ def _describe(batches: Iterator[pd.DataFrame], s: Settings) -> Iterator[pd.DataF
             for r in range(s.rows):
                 band = mix(band * np.uint64(0x2545F4914F6CDD1D) + banded[:, :, r])
             band = mix(band + np.arange(s.bands, dtype=np.uint64)).view(np.int64)
-            yield pd.DataFrame({"doc_id": batch["doc_id"].iloc[at : at + n].astype("Int64").array, "words": [_digest(b" ".join(one.split())) for one in group], "bands": list(band)})
+            low = (signature & np.uint64(0xFFFF)).astype("<u2")
+            yield pd.DataFrame({"doc_id": batch["doc_id"].iloc[at : at + n].astype("Int64").array, "signature": [x.tobytes() for x in low], "words": [_digest(b" ".join(one.split())) for one in group], "bands": list(band)})
             at += n
 
 
@@ -156,34 +161,96 @@ def similarity(a: dict[bytes, int], b: dict[bytes, int]) -> float:
     return both / (sum(a.values()) + sum(b.values()) - both) if a and b else 0.0
 
 
+def marks(group: list[bytes]) -> list[bytes]:
+    """For each folded text a sorted array of 64-bit marks, one for each occurrence of each shingle: the k-th occurrence has a mark of
+    its own, so the marks that two texts share are the sum of the smaller counts."""
+    text, code, weight = shingles(Words(group), len(group))
+    nth = np.arange(weight.sum()) - np.repeat(np.cumsum(weight) - weight, weight)
+    text, mark = np.repeat(text, weight), mix(np.repeat(code, weight) + nth.astype(np.uint64) * np.uint64(0x632BE59BD9B4E019))
+    mark = mark[np.lexsort((mark, text))]
+    ends = np.cumsum(np.bincount(text, minlength=len(group)))
+    return [part.tobytes() for part in np.split(mark, ends[:-1])]
+
+
+def _marked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        at = 0
+        for group in grouped(batch["text"]):
+            yield pd.DataFrame({"doc_id": batch["doc_id"].iloc[at : at + len(group)].array, "marks": marks(group)})
+            at += len(group)
+
+
 def _compare(batches: Iterator[pd.DataFrame], least: float) -> Iterator[pd.DataFrame]:
-    """Rows come sorted by a, so that a's shingles are counted once."""
-    last, known = None, {}
     for batch in batches:
         keep = np.zeros(len(batch), dtype=bool)
-        for j, (a, ta, tb) in enumerate(zip(batch["a"], batch["text_a"], batch["text_b"], strict=True)):
-            if a != last:
-                last, known = a, weights_of(ta)
-            keep[j] = similarity(known, weights_of(tb)) >= least
+        for j, (x, y) in enumerate(zip(batch["marks_a"], batch["marks_b"], strict=True)):
+            if min(len(x), len(y)) < least * max(len(x), len(y)) or not x or not y:
+                continue
+            a, b = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+            at = np.searchsorted(a, b)
+            both = int((a[np.minimum(at, len(a) - 1)] == b).sum())
+            keep[j] = both / (len(a) + len(b) - both) >= least
         yield batch.loc[keep, ["a", "b"]]
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, s: Settings) -> DataFrame:
     """Those pairs (a < b) that are near duplicates."""
     asked = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    texts = written(docs.join(asked, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text")), "candidates")
-    two, one = (texts.select(F.col("doc_id").alias(x), F.col("text").alias(f"text_{x}")) for x in "ba")
-    full = pairs.join(two, "b").join(one, "a").sortWithinPartitions("a")
+    marked = docs.join(asked, "doc_id", "left_semi").select("doc_id", "text").mapInPandas(_marked, "doc_id long, marks binary")
+    marked = written(marked.groupBy("doc_id").agg(F.min("marks").alias("marks")), "candidates")
+    two, one = (marked.select(F.col("doc_id").alias(x), F.col("marks").alias(f"marks_{x}")) for x in "ba")
+    full = pairs.join(two, "b").join(one, "a")
     return written(full.mapInPandas(lambda it: _compare(it, s.similarity), "a long, b long"), "links")
 
 
+def _agreeing(batches: Iterator[pd.DataFrame], floor: float, k: int) -> Iterator[pd.DataFrame]:
+    """Pairs of different components whose signatures agree. Rows come sorted by `pair`, the hash of a bucket and two of its blocks."""
+    held = None
+    for batch in itertools.chain(batches, [None]):
+        rows = batch if held is None else held if batch is None else pd.concat([held, batch], ignore_index=True)
+        if rows is None or not len(rows):
+            continue
+        key = rows["pair"].to_numpy()
+        starts = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+        stop = len(rows) if batch is None else starts[-1]  # the last group may go on in the next batch
+        ids, parts, block = (rows[c].to_numpy() for c in ("doc_id", "component", "block"))
+        signature = np.frombuffer(b"".join(rows["signature"].iloc[:stop]), dtype="<u2").reshape(-1, k)
+        out: list[tuple[np.ndarray, np.ndarray]] = []
+        for a, b in zip(starts, [*starts[1:], len(rows)], strict=True):
+            if a >= stop:
+                break
+            one_block = rows["low"].iat[a] == rows["high"].iat[a]
+            for i in range(a, b - 1):
+                rest = np.arange(i + 1, b)
+                rest = rest[(parts[i + 1 : b] != parts[i]) & (one_block | (block[i + 1 : b] != block[i]))]
+                if len(rest):
+                    rest = rest[(signature[rest] == signature[i]).mean(axis=1) >= floor]
+                    if len(rest):
+                        out.append((np.minimum(ids[rest], ids[i]), np.maximum(ids[rest], ids[i])))
+        if out:
+            yield pd.DataFrame({"a": np.concatenate([x for x, _ in out]), "b": np.concatenate([x for _, x in out])})
+        held = rows.iloc[stop:].reset_index(drop=True)
+
+
+def _across(members: DataFrame, s: Settings) -> DataFrame:
+    """Likely pairs across components in each bucket. members: band, n (its size), doc_id, component, signature."""
+    floor = s.similarity - 4.5 * (s.similarity * (1 - s.similarity) / (s.bands * s.rows)) ** 0.5
+    blocks = F.ceil(F.col("n") / s.block).cast("int")
+    placed = members.withColumn("block", F.pmod(F.xxhash64("doc_id"), blocks).cast("int"))
+    other = placed.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    low, high = F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")
+    dealt = other.select("band", low, high, "block", "doc_id", "component", "signature").withColumn("pair", F.xxhash64("band", "low", "high"))
+    together = dealt.repartition("pair").sortWithinPartitions("pair").drop("band")
+    return together.mapInPandas(lambda it: _agreeing(it, floor, s.bands * s.rows), "a long, b long")
+
+
 def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """doc_id, group_id (the smallest doc_id of its group) and kept (whether it stands for the group) of every row."""
     s = settings
     source = docs.select("doc_id", "text")
-    described = written(source.mapInPandas(lambda it: _describe(it, s), "doc_id long, words binary, bands array<long>"), "described")
-    # Texts of a class have the same bands; its smallest doc_id stands for it.
-    classes = written(described.where("words IS NOT NULL AND doc_id IS NOT NULL").groupBy("words").agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands")), "classes")
+    described = written(source.mapInPandas(lambda it: _describe(it, s), "doc_id long, signature binary, words binary, bands array<long>"), "described")
+    # Texts of a class have the same bands and signature; its smallest doc_id stands for it.
+    classes = written(described.where("words IS NOT NULL AND doc_id IS NOT NULL").groupBy("words").agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"), F.first("signature").alias("signature")), "classes")
     banded = classes.select("doc_id", F.explode("bands").alias("band"))
     buckets = banded.groupBy("band").agg(F.min("doc_id").alias("a"), F.count("*").alias("n")).where("n > 1")
     members = written(banded.join(buckets.drop("n"), "band"), "members")
@@ -191,14 +258,10 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     links = _verified(star, source, s)
     found = written(components(links), "components")
     placed = members.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("band", "doc_id", "a", F.coalesce("component", "doc_id").alias("component"))
-    several = placed.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high").select("band")
-    open_ = written(placed.join(several, "band").select("band", "doc_id", "component"), "open")
+    several = placed.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n")).where("low != high").select("band", "n")
+    open_ = written(placed.join(several, "band").select("band", "n", "doc_id", "component"), "open")
     if not open_.isEmpty():
-        parts = open_.select("band", "component").distinct()
-        meeting = parts.withColumnRenamed("component", "c").join(parts.withColumnRenamed("component", "d"), "band").where("c < d")
-        one, two = (open_.select("band", F.col("component").alias(c), F.col("doc_id").alias(x)) for c, x in ("cx", "dy"))
-        pair = meeting.join(one, ["band", "c"]).join(two, ["band", "d"])
-        across = pair.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+        across = _across(open_.join(classes.select("doc_id", "signature"), "doc_id"), s).distinct()
         across = written(across.join(star, ["a", "b"], "left_anti"), "pairs")
         more = _verified(across, source, s) if not across.isEmpty() else across
         if not more.isEmpty():
