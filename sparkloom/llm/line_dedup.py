@@ -43,29 +43,39 @@ class Settings:
     min_words: int = 12
 
 
+_known_powers: dict[int, np.ndarray] = {}
+
+
 def _powers(base: int, n: int) -> np.ndarray:
-    out = np.full(n, base, dtype=np.uint64)
+    """Powers up to n, kept from group to group; those of a longer text are not kept."""
+    size = max(n, GROUP_BYTES + 1)
+    if base in _known_powers and len(_known_powers[base]) >= n:
+        return _known_powers[base][:n]
+    out = np.full(size, base, dtype=np.uint64)
     out[0] = 1
-    return np.multiply.accumulate(out)
+    out = np.multiply.accumulate(out)
+    if size == GROUP_BYTES + 1:
+        _known_powers[base] = out
+    return out[:n]
 
 
 class _Hashes:
-    """Hashes of any range of data."""
+    """Hashes of any range of data, by the first `kinds` bases."""
 
-    def __init__(self, data: np.ndarray):
+    def __init__(self, data: np.ndarray, kinds: int):
         n = len(data) + 1
         values = data.astype(np.uint64) + np.uint64(1)
         zero = np.zeros(1, dtype=np.uint64)
-        self.sums = [np.concatenate((zero, np.cumsum(values * _powers(b, n)[:-1], dtype=np.uint64))) for b in BASES]
-        self.back = [_powers(b, n) for b in INVERSES]
+        self.sums = [np.concatenate((zero, np.cumsum(values * _powers(b, n)[:-1], dtype=np.uint64))) for b in BASES[:kinds]]
+        self.back = [_powers(b, n) for b in INVERSES[:kinds]]
 
     def of(self, start: np.ndarray, stop: np.ndarray, k: int) -> np.ndarray:
         return mix((self.sums[k][stop] - self.sums[k][start]) * self.back[k][start] + (stop - start).astype(np.uint64))
 
 
-def chunks(texts: list[bytes], s: Settings) -> dict[str, np.ndarray]:
+def chunks(texts: list[bytes], s: Settings, whole: bool = True) -> dict[str, np.ndarray]:
     """text, start and stop of each chunk in its text, begin and end of its bytes without white space around them (in all texts
-    side by side), and its digest in two parts."""
+    side by side), and its digest in two parts, of which the second is left out unless `whole`."""
     data = np.frombuffer(b"".join(texts), dtype=np.uint8)
     ends = np.cumsum([len(t) for t in texts])
     none = {c: np.zeros(0, dtype=np.int64) for c in ("text", "start", "stop", "begin", "end", "high", "low")}
@@ -101,7 +111,7 @@ def chunks(texts: list[bytes], s: Settings) -> dict[str, np.ndarray]:
         left = np.minimum(next_solid[np.searchsorted(solid, x)], y)
         return left, np.maximum(after_last[y], left)
 
-    hashes = _Hashes(data)
+    hashes = _Hashes(data, 1 + whole)
     own = hashes.of(*bare(a, b), 0)
     new_line = np.concatenate(([True], line[b[:-1] - 1] | first[a[1:]]))  # the unit begins a line
     last = np.where(new_line, np.uint64(0), np.concatenate((own[:1], own[:-1])))
@@ -121,7 +131,8 @@ def chunks(texts: list[bytes], s: Settings) -> dict[str, np.ndarray]:
     left, right = bare(x, y)
     text = text_of[begin]
     base = ends[text] - np.array([len(t) for t in texts])[text]
-    return {"text": text, "start": x - base, "stop": y - base, "begin": left, "end": right, "high": hashes.of(left, right, 0).view(np.int64), "low": hashes.of(left, right, 1).view(np.int64)}
+    low = {"low": hashes.of(left, right, 1).view(np.int64)} if whole else {}
+    return {"text": text, "start": x - base, "stop": y - base, "begin": left, "end": right, "high": hashes.of(left, right, 0).view(np.int64)} | low
 
 
 def _groups(texts: Iterable[str | None]) -> Iterator[list[bytes]]:
@@ -141,7 +152,7 @@ def _groups(texts: Iterable[str | None]) -> Iterator[list[bytes]]:
 def _digests(batches: Iterator[pd.DataFrame], s: Settings) -> Iterator[pd.DataFrame]:
     for batch in batches:
         for group in _groups(batch["text"]):
-            yield pd.DataFrame({"high": chunks(group, s)["high"]})
+            yield pd.DataFrame({"high": chunks(group, s, whole=False)["high"]})
 
 
 def _places(batches: Iterator[pd.DataFrame], s: Settings) -> Iterator[pd.DataFrame]:
