@@ -25,6 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .store import small_batches, written
 from .words import words_of
 
 WINDOW = 10
@@ -145,9 +146,8 @@ def _united(n: pd.Series, starts: pd.Series, ends: pd.Series, items: pd.Series)
 
 def with_hits(docs: DataFrame, benchmark: DataFrame, name: str, block_windows: int = 200_000) -> DataFrame:
     """docs with a column of that name, a struct of RESULT."""
-    from .store import written
-
     spark = docs.sparkSession
+    small_batches(spark)
     windows = windows_of(benchmark)
     n = windows.count()
     if n <= block_windows:

@@ -21,6 +21,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .store import small_batches
+
 #: Fixed values of HTML: elements without content, elements that make a block, elements inside a line.
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 BLOCK = set(
@@ -233,6 +235,8 @@ def _best(root: Node) -> str:
 def html_text(pages: DataFrame) -> DataFrame:
     """page_id, url, text and n_chars of every page."""
 
+    small_batches(pages.sparkSession)
+
     @F.pandas_udf("string")
     def main_text(html: pd.Series) -> pd.Series:
         return html.map(extract, na_action=None).astype(object) if len(html) else html

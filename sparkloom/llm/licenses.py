@@ -26,6 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .store import small_batches
 from .words import words_of
 
 #: Public license notices and texts.
@@ -164,4 +165,5 @@ def _scanned(batches: Iterator[pd.DataFrame], licenses: dict[str, str], s: Setti
 
 def license_scan(docs: DataFrame, licenses: dict[str, str] = LICENSES, settings: Settings = Settings()) -> DataFrame:
     """doc_id, license, coverage, first_word and end_word of every find."""
+    small_batches(docs.sparkSession)
     return docs.select("doc_id", "text").mapInPandas(lambda it: _scanned(it, licenses, settings), "doc_id long, license string, coverage double, first_word long, end_word long")

@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .store import written
+from .store import small_batches, written
 from .words import GROUP_BYTES, mix
 
 LONG, CUT = 12, 8
@@ -185,6 +185,7 @@ def _cut(texts: pd.Series, spans: pd.Series) -> pd.Series:
 def without_repeats(docs: DataFrame, settings: Settings = Settings(), count: str | None = None) -> DataFrame:
     """docs with repeated chunks cut out of text. count: a name for a column with the number of chunks removed."""
     s = settings
+    small_batches(docs.sparkSession)
     key = F.xxhash64("doc_id", "text").alias("key")
     keyed = docs.select("doc_id", key, "text")
     # Digests that come twice, then their places, then the bytes at those places.

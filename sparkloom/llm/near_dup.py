@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import components
-from .store import written
+from .store import small_batches, written
 from .words import Words, fold, grouped, mix
 
 SHINGLE = 5
@@ -247,6 +247,7 @@ def _across(members: DataFrame, s: Settings) -> DataFrame:
 def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """doc_id, group_id (the smallest doc_id of its group) and kept (whether it stands for the group) of every row."""
     s = settings
+    small_batches(docs.sparkSession)
     source = docs.select("doc_id", "text")
     described = written(source.mapInPandas(lambda it: _describe(it, s), "doc_id long, signature binary, words binary, bands array<long>"), "described")
     # Texts of a class have the same bands and signature; its smallest doc_id stands for it.

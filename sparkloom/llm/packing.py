@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .store import written
+from .store import small_batches, written
 from .tokens import encoder
 
 PIECES = "doc_id long, piece int, start long, length long, ids binary"
@@ -44,6 +44,7 @@ def _pieces(batches: Iterator[pd.DataFrame], path: str, layout: str, end: int, s
 
 def pieces(docs: DataFrame, path: str, layout: str = "bytes", end: int = 0, size: int = 2048) -> DataFrame:
     """The pieces of each document, with ids as little-endian unsigned 32-bit integers."""
+    small_batches(docs.sparkSession)
     return docs.select("doc_id", "text").mapInPandas(lambda it: _pieces(it, path, layout, end, size), PIECES)
 
 

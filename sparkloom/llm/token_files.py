@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .store import fresh_path
+from .store import fresh_path, small_batches
 from .tokens import encoder
 
 BLOCK, SEGMENT, PERCENTILE, MAGIC = 128, 1 << 20, 90, b"PFORIDS1"
@@ -144,6 +144,7 @@ def write_tokens(docs: DataFrame, folder: str, path: str, layout: str = "words",
     """Writes the files into folder, in ascending doc_id order over all files, and returns the manifest."""
     fs, root = _open(folder)
     fs.create_dir(root, recursive=True)
+    small_batches(docs.sparkSession)
     dealt = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id")
     files = dealt.mapInPandas(lambda it: _write(it, folder, path, layout, end), "shard int, path string, docs long, tokens long")
     return sorted(files.collect(), key=lambda r: r["shard"])

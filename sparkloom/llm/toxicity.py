@@ -30,6 +30,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .store import small_batches
 from .words import Words, grouped, mix
 
 #: Prefix lengths in bytes; the word itself comes last.
@@ -185,6 +186,7 @@ def _fit(m: Model, rows: pd.DataFrame) -> None:
 def learn(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> Model:
     """Fits the model on the labelled rows of docs that are not held out."""
     s = settings
+    small_batches(docs.sparkSession)
     known = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out()).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("label"))
     n = known.count()
     known = F.broadcast(known) if n <= s.small_labels else known

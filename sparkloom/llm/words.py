@@ -14,7 +14,7 @@ import numpy as np
 #: Lower-cases A-Z and turns every separator into a space.
 FOLD = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 #: Texts are hashed together up to so many bytes; a longer text goes alone.
-GROUP_BYTES = 1 << 20
+GROUP_BYTES = 1 << 18
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
