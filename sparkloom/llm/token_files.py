@@ -157,7 +157,7 @@ class TokenFile:
         fs, name = _open(path)
         self._file = fs.open_input_file(name)
         end = self._file.size()
-        blocks, docs, self.tokens = self._numbers(end - 32, 3, "<u8")
+        blocks, docs, self.tokens = map(int, self._numbers(end - 32, 3, "<u8"))
         at = end - 32 - 4 * docs
         self.counts = self._numbers(at, docs, "<u4").astype(np.int64)
         self.null = self._numbers(at - docs, docs, "u1").astype(bool)
