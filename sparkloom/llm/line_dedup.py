@@ -1,9 +1,10 @@
 """Removal of repeated passages by content-defined line chunks.
 
-Units: a text is cut into lines, a line after sentence ends, and a unit of over 12 words every 8 words. Boundaries: a
-rolling hash over the hashes of the last two units of a line makes a boundary after two of three units, and each line begins and ends
-with one, so equal passages get equal boundaries wherever they stand. Chunks: from each boundary to the first one that
-is at least two units and `min_words` words away. Chunks may overlap, so a short passage holds whole chunks whatever stands before it.
+Units: a text is cut into lines. Inside a line every place between two words has a hash of these two, and places after
+sentence ends go before all others; the smallest of each `window` places in a row is a cut (winnowing). A cut depends on nothing but the words
+up to `window` places around it, and two cuts are at most `window` words apart, so equal passages get equal cuts wherever they stand,
+with or without punctuation. Chunks: from each cut or line begin to the first one that is at least two units and `min_words` words
+away. Chunks may overlap. A passage of 51 words or more in one line holds a whole chunk, whatever stands around it.
 
 A chunk that occurs again anywhere is removed, except at its first place (smallest doc_id, then place in the text).
 Chunks are grouped by a 128-bit digest and compared byte by byte: a group must hold one text only; if it holds more, nothing
@@ -31,7 +32,6 @@ from pyspark.sql import functions as F
 from .store import small_batches, written
 from .words import GROUP_BYTES, mix
 
-LONG, CUT = 12, 8
 #: Odd bases of the two polynomial hashes of bytes, and their inverses modulo 2**64.
 BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
 INVERSES = tuple(pow(b, -1, 1 << 64) for b in BASES)
@@ -39,7 +39,7 @@ INVERSES = tuple(pow(b, -1, 1 << 64) for b in BASES)
 
 @dataclass(frozen=True)
 class Settings:
-    divisor: int = 3  # after one of so many units there is no boundary
+    window: int = 12  # of so many places in a row, one is a cut
     min_words: int = 12
 
 
@@ -69,6 +69,10 @@ class _Hashes:
         self.sums = [np.concatenate((zero, np.cumsum(values * _powers(b, n)[:-1], dtype=np.uint64))) for b in BASES[:kinds]]
         self.back = [_powers(b, n) for b in INVERSES[:kinds]]
 
+    def raw(self, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+        """By the first base, not yet spread."""
+        return (self.sums[0][stop] - self.sums[0][start]) * self.back[0][start]
+
     def of(self, start: np.ndarray, stop: np.ndarray, k: int) -> np.ndarray:
         return mix((self.sums[k][stop] - self.sums[k][start]) * self.back[k][start] + (stop - start).astype(np.uint64))
 
@@ -88,18 +92,28 @@ def chunks(texts: list[bytes], s: Settings, whole: bool = True) -> dict[str, np.
     space = (data == 32) | (data >= 9) & (data <= 13)
     word = ~space & ((before == 32) | (before >= 9) & (before <= 13) | first)
     line = data == 10
-    cut = line | (data == 32) & ((before == 46) | (before == 33) | (before == 63))
-    begins = np.concatenate((first, [True])) | np.concatenate(([False], cut))  # where units begin; the last is the end
-    starts = np.flatnonzero(begins)
+    begins = np.concatenate((first, [True])) | np.concatenate(([False], line))  # where units begin; the last is the end
     words = np.concatenate(([0], np.cumsum(word)))
-    # Long units are cut at every CUT-th word, but not shortly before their end.
+    hashes = _Hashes(data, 1 + whole)
     place = np.flatnonzero(word)
-    unit = np.searchsorted(starts, place, side="right") - 1
-    nth = np.arange(len(place)) - words[starts[unit]]
-    n = words[starts[unit + 1]] - words[starts[unit]]
-    begins[place[(n > LONG) & (nth > 0) & (nth % CUT == 0) & (n - nth >= CUT // 2)]] = True
+    if len(place) > s.window:
+        over = np.flatnonzero(~space & np.append(space[1:] | first[1:], True)) + 1  # the ends of words
+        own = hashes.raw(place, over)
+        pair = mix(np.concatenate((own[:1], own[:-1])) * np.uint64(BASES[1]) + own)
+        # The order of places: begins of lines (no cuts are made there), then begins of sentences, then all others; equal ones by place.
+        on = np.cumsum(begins[:-1])[place]
+        order = pair >> np.uint64(33) | np.uint64(1 << 31)
+        ended = data[over - 1]
+        order[1:][((ended == 46) | (ended == 33) | (ended == 63))[:-1]] &= np.uint64((1 << 31) - 1)
+        order[np.concatenate(([True], on[1:] != on[:-1]))] = 0
+        order = (order << np.uint64(32)) | np.arange(len(place), dtype=np.uint64)
+        least, size = order, 1
+        while size < s.window:
+            step = min(size, s.window - size)
+            least, size = np.minimum(least[:-step], least[step:]), size + step
+        chosen = np.unique(least)
+        begins[place[(chosen[chosen >= np.uint64(1 << 32)] & np.uint64((1 << 32) - 1)).astype(np.int64)]] = True
     starts = np.flatnonzero(begins)
-    a, b = starts[:-1], starts[1:]
     # Bytes of a range without white space around it: its first byte that is none, and the end of its last.
     solid = np.flatnonzero(~space)
     if not len(solid):
@@ -111,18 +125,10 @@ def chunks(texts: list[bytes], s: Settings, whole: bool = True) -> dict[str, np.
         left = np.minimum(next_solid[np.searchsorted(solid, x)], y)
         return left, np.maximum(after_last[y], left)
 
-    hashes = _Hashes(data, 1 + whole)
-    own = hashes.of(*bare(a, b), 0)
-    new_line = np.concatenate(([True], line[b[:-1] - 1] | first[a[1:]]))  # the unit begins a line
-    last = np.where(new_line, np.uint64(0), np.concatenate((own[:1], own[:-1])))
-    rolled = mix(last * np.uint64(BASES[1]) + own)
-    boundary = np.concatenate(([True], (rolled % np.uint64(s.divisor) != 0) | np.append(new_line[1:], True)))  # before unit i
-    at = np.flatnonzero(boundary)
     total = words[starts]
     text_of = np.searchsorted(ends, starts[:-1], side="right")
-    begin = at[:-1]
-    enough = np.maximum(begin + 2, np.searchsorted(total, total[begin] + s.min_words))
-    stop = at[np.minimum(np.searchsorted(at, enough), len(at) - 1)]
+    begin = np.arange(len(starts) - 1)
+    stop = np.minimum(np.maximum(begin + 2, np.searchsorted(total, total[begin] + s.min_words)), len(starts) - 1)
     text_stop = np.searchsorted(starts, ends[text_of[begin]])  # the first unit after the text
     stop = np.minimum(stop, text_stop)
     good = (stop - begin >= 2) & (total[stop] - total[begin] >= s.min_words)

@@ -274,6 +274,28 @@ def test_passages_inside_lines_are_found(spark, place):
         assert prose(i, 40).split()[5] in out[i] or "{a}" not in place
 
 
+@pytest.mark.parametrize("n", [51, 60, 75, 100])
+def test_passages_without_punctuation_share_chunks_at_all_offsets(n):
+    passage = prose(800 + n, n)
+
+    def digests(before: str, after: str) -> set:
+        found = line_dedup.chunks([f"{before}{passage}{after}".encode()], line_dedup.Settings())
+        return set(zip(found["high"].tolist(), found["low"].tolist(), strict=True))
+
+    other = digests(prose(1, 7) + " ", " " + prose(2, 30))
+    for offset in range(41):
+        assert digests(prose(100 + offset, offset) + " " * (offset > 0), " " + prose(200 + offset, 25)) & other, offset
+
+
+def test_unpunctuated_passages_after_other_words_of_their_sentence_go(spark):
+    passage = prose(820, 60)
+    rows = [(i, f"{prose(830 + i, 5 + 3 * i)} {passage} {prose(860 + i, 20)}") for i in range(8)]
+    out = {r["doc_id"]: r for r in line_dedup.line_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert out[0]["text"] == rows[0][1]
+    for i in range(1, 8):
+        assert out[i]["n_removed"] >= 1 and len(out[i]["text"].split()) <= len(rows[i][1].split()) - 12, i
+
+
 def test_line_dedup_edges(spark, odd):
     out = line_dedup.without_repeats(odd)
     assert out.columns == odd.columns and out.count() == 7 and out.dtypes == odd.dtypes
