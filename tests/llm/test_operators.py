@@ -216,6 +216,27 @@ def test_license_scan(spark, odd):
     assert licenses.license_scan(odd).count() == 0 and licenses.license_scan(odd.limit(0)).count() == 0
 
 
+def test_variants_of_licenses_are_told_apart():
+    scanner = licenses.Scanner(licenses.LICENSES, licenses.Settings())
+    around = prose(11, 40), prose(12, 40)
+    for name, text in licenses.LICENSES.items():
+        found = scanner.scan(words_of(f"{around[0]} {text} {around[1]}"))
+        assert [(x[0], x[1]) for x in found] == [(name, 1.0)] and found[0][2] == 40, name
+
+    def names(text: str) -> list[str]:
+        return [x[0] for x in scanner.scan(words_of(f"{around[0]} {text} {around[1]}"))]
+
+    assert names("This work is licensed under the GNU General Public License, version 4") == []
+    assert names("Licensed under CC BY-NC-SA 3.0") == []
+    header = licenses.LICENSES["GPL-3.0-header"]
+    assert names(header.replace("GNU General", "GNU Lesser General")) == ["LGPL-3.0-header"]
+    assert names(header.replace("GNU General", "GNU Affero General")) == ["AGPL-3.0-header"]
+    assert names(header.replace("version 3", "version 5")) == []
+    mit = licenses.LICENSES["MIT"].split()
+    padded = [x for k, w in enumerate(mit) for x in ([w, f"added{k}"] if k % 5 == 0 else [w])]
+    assert names(" ".join(padded)) == []  # a fifth of added words
+
+
 def test_alignment_rises_in_both():
     r = random.Random(8)
     for _ in range(300):
