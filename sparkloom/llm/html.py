@@ -3,7 +3,9 @@
 A page becomes a tree; menus, page headers, footers, sidebars, notices, adverts, forms, comments, scripts and
 styles are cut out by element and by the words of class, id and role. Each block of text passes points for its
 length and commas to its ancestors, less with each step up. A container's points are discounted by the share of its text
-that is in links. The best container and those of its siblings that score like it are kept.
+that is in links. The article or main element around the best container is kept whole. Without one, the container grows to its parent as long as
+no other part there is mostly links. Beside it headings, parts with few links and parts that score like it are kept, whatever the length of the page.
+A form that holds an article, main or h1 element or most of the page's text is a plain wrapper.
 
 Scale: one page at a time inside its partition, no shuffle. The work is linear in the length of the page.
 
@@ -57,7 +59,7 @@ def _names(attrs: dict[str, str | None]) -> str:
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "dropped", "by_name", "bonus", "points", "length", "linked")
+    __slots__ = ("tag", "parent", "children", "dropped", "by_name", "form", "bonus", "points", "length", "linked")
 
     def __init__(self, tag: str, parent: Node | None, attrs: dict[str, str | None] | None = None):
         self.tag, self.parent, self.children, self.points = tag, parent, [], 0.0
@@ -66,12 +68,15 @@ class Node:
         article = tag in ("article", "main")
         good = bool(named and _GOOD.search(named))
         self.bonus = 25.0 * article + 15.0 * good
-        self.dropped = tag in DROPPED or tag == "header" and not any(a.tag in ("article", "main") for a in self.above())
+        self.form = tag == "form"
+        self.dropped = tag in DROPPED and not self.form or tag == "header" and not any(a.tag in ("article", "main") for a in self.above())
         if attrs and tag not in ("html", "body") and not self.dropped:
-            self.dropped = "hidden" in attrs or (attrs.get("role") or "").lower() in _BAD_ROLE or (attrs.get("aria-hidden") or "").lower() == "true" or bool(_UNSEEN.search(attrs.get("style") or ""))
+            self.dropped = "hidden" in attrs or (attrs.get("role") or "").lower() in _BAD_ROLE - {tag} or (attrs.get("aria-hidden") or "").lower() == "true" or bool(_UNSEEN.search(attrs.get("style") or ""))
             self.dropped = self.dropped or bool(named) and bool(_ANSWER.search(named)) and not (tag == "main")
         self.by_name = not self.dropped and bool(named) and tag not in ("html", "body") and bool(_BAD.search(named)) and not (article and good)
         self.dropped = self.dropped or self.by_name
+        self.form = self.form and not self.dropped  # dropped as a form only, unless it turns out to be a wrapper
+        self.dropped = self.dropped or self.form
 
     def above(self) -> Iterator[Node]:
         node = self.parent
@@ -169,7 +174,23 @@ def _value(node: Node) -> float:
     return (node.points + (node.bonus if node.length else 0)) * (1 - node.linked / node.length if node.length else 0)
 
 
-def _texts(nodes: list[Node]) -> str:
+def _unwrap(root: Node) -> None:
+    """Keeps forms that hold an article, main or h1 element or over half of the page's text."""
+    nodes = [n for n in _all(root) if not (n.dropped and not n.form)]
+    if not any(n.form for n in nodes):
+        return
+    hold: dict[int, tuple[int, bool]] = {}
+    for n in reversed(nodes):
+        inner = [hold[id(c)] for c in n.children if isinstance(c, Node) and id(c) in hold]
+        own = sum(len(" ".join(c.split())) for c in n.children if isinstance(c, str))
+        hold[id(n)] = own + sum(x for x, _ in inner), n.tag in ("article", "main", "h1") or any(y for _, y in inner)
+    for n in nodes:
+        size, main = hold[id(n)]
+        if n.form and size and (main or size > hold[id(root)][0] / 2):
+            n.dropped = False
+
+
+def _texts(nodes: list[Node | str]) -> str:
     out: list[str] = []
     stack: list = list(reversed(nodes))
     while stack:
@@ -191,6 +212,7 @@ def extract(html: str | None) -> str:
     if not html:
         return ""
     root = parse(html)
+    _unwrap(root)
     found = _best(root)
     if not found:  # a name that sounds like a side part can be that of the whole page
         nodes = _all(root)
@@ -211,6 +233,26 @@ def _all(root: Node) -> list[Node]:
     return out
 
 
+HEADINGS = ("h1", "h2", "h3", "h4", "h5", "h6")
+#: A part with a smaller share of its text in links is no menu.
+FEW_LINKS = 0.25
+
+
+def _links(node: Node) -> float:
+    return node.linked / node.length
+
+
+def _whole(best: Node) -> Node:
+    """The article or main element around a container, or else the highest ancestor that is reached without a part that is mostly links."""
+    for tag in ("article", "main"):
+        for a in (best, *best.above()):
+            if a.tag == tag:
+                return a
+    while best.parent is not None and all(_links(c) < FEW_LINKS for c in best.parent.children if isinstance(c, Node) and c is not best and not c.dropped and c.length):
+        best = best.parent
+    return best
+
+
 def _best(root: Node) -> str:
     nodes = [n for n in _score(root) if n.tag in BLOCK and n.tag not in ("p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "tr")]
     best = max(nodes, key=_value, default=None)
@@ -219,15 +261,16 @@ def _best(root: Node) -> str:
     if _value(best) <= 0:
         return _texts([root])
     bound = max(10.0, 0.2 * _value(best))
+    best = _whole(best)
     kept = [best]
     if best.parent is not None:
         kept = []
         for c in best.parent.children:
-            if c is best:
+            if c is best or isinstance(c, str) and best.tag != "main":
                 kept.append(c)
-            elif isinstance(c, Node) and not c.dropped and c.length:
-                links = c.linked / c.length
-                if c.tag in BLOCK and c.tag != "p" and _value(c) >= bound or c.tag == "p" and best.tag not in ("article", "main") and links < 0.25 and (c.length > 80 or links == 0):
+            elif isinstance(c, Node) and not c.dropped and (c.length or c.tag == "br"):
+                few = c.tag == "br" or _links(c) < FEW_LINKS
+                if c.tag in HEADINGS or few and best.tag != "main" or c.tag in BLOCK and c.tag != "p" and _value(c) >= bound:
                     kept.append(c)
     return _texts(kept)
 

@@ -338,6 +338,26 @@ def test_html_keeps_the_article(spark):
     assert html.html_text(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def test_html_keeps_parts_beside_the_best_container():
+    long = "".join(f"<p>{prose(900 + k, 60)}, {prose(930 + k, 30)}.</p>" for k in range(13))
+    menu = "<div><a href=/a>One</a> <a href=/b>Two</a></div>"
+    article = html.extract(f"<body>{menu}<article><h1>Title</h1><div>{long}</div><div><p>Closing words.</p></div></article></body>")
+    plain = html.extract(f"<body>{menu}<div><h1>Title</h1><div><div>{long}</div><ul><li>Item</ul><table><tr><td>Cell</table><div><p>Closing words.</p></div></div></div></body>")
+    beside = html.extract(f"<body><div><h1>Title</h1>{menu}<div>{long}</div><div><p>Closing words.</p></div></div></body>")
+    for found in (article, plain, beside):
+        assert found.startswith("Title ") and found.endswith("Closing words.") and "One" not in found
+    assert "Item" in plain and "Cell" in plain
+
+
+def test_html_reads_pages_inside_a_form():
+    text = "<p>" + prose(950, 80) + ".</p>"
+    small = "<form><input><label>Name</label><p>Send us your name</p></form>"
+    assert html.extract(f"<body><form id=aspnetForm><div>{text}{text}</div></form></body>") == " ".join([prose(950, 80) + "."] * 2)
+    assert html.extract(f"<body><form role=form><h1>Title</h1>{text}</form></body>").startswith("Title ")
+    assert "Send" not in html.extract(f"<body><div>{text}{small}</div></body>")
+    assert html.extract(f"<body><form hidden>{text}</form></body>") == ""
+
+
 def test_packing_places_every_piece(spark, odd):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").unionByName(odd.select("doc_id", "text"))
     rows = packing.pack(packing.pieces(docs, BYTE).select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")), pool=60).collect()
