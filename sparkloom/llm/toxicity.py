@@ -3,9 +3,10 @@
 Learning: every labelled row that is not held out adds its words, and their prefixes of 4, 5 and 6 bytes, to a
 count-min sketch of fixed size (how many toxic and how many clean texts hold them). A token's log-odds come from a chain of
 Dirichlet priors: the toxic share of a prefix is the prior mean of the next longer prefix, up to the word, so
-an unseen word gets the score of what is known of its beginning. A word that comes again in a text adds nothing.
+an unseen word gets the score of what is known of its beginning.
 
-Scoring: a linear scan over a text's token scores finds all maximal scoring segments (Ruzzo and Tompa). A
+Scoring: a linear scan over a text's token scores finds all maximal scoring segments (Ruzzo and Tompa). Every occurrence
+makes segments; to a segment's score a word that comes again inside it adds once, as the sum over the maximal segments left so. A
 segment of score s in a text of n words has the expected number E = K n exp(-L s) in clean text; L and K are
 fitted to the segments of clean labelled texts (exceedances over a threshold). Segments with E under
 `significance` are passages; the text's evidence sums their -ln E and a logistic curve turns it into a score.
@@ -35,7 +36,7 @@ from .words import Words, grouped, mix
 
 #: Prefix lengths in bytes; the word itself comes last.
 LEVELS = (4, 5, 6, None)
-RESULT = "score double, n_passages int, passage_start int, passage_end int, passage_score double"
+RESULT = "score double, n_passages int, passage_start int, passage_end int, passage_score double, passages array<struct<start:int,end:int,score:double>>"
 
 
 @dataclass(frozen=True)
@@ -113,8 +114,7 @@ def _scores(words: Words, clean: np.ndarray, toxic: np.ndarray, share: float, s:
         if own is not None:
             bad, good = np.maximum(0, bad - own), np.maximum(0, good - (1 - own))
         p = np.where(there[k], (bad + s.prior * p) / (bad + good + s.prior), p)
-    odds = np.log(p / (1 - p)) - np.log(share / (1 - share))
-    return np.where(first_of_text(words.hashes(), words.text), odds, 0.0) - s.drift
+    return np.log(p / (1 - p)) - np.log(share / (1 - share)) - s.drift
 
 
 def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
@@ -140,16 +140,34 @@ def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
     return [(a, b, high - low) for a, b, low, high, _ in found]
 
 
+def _expected(x: float, n: int, m: Model) -> float:
+    """The logarithm of E."""
+    return np.log(m.volume * max(n, 1)) - m.rate * x
+
+
 def _evidence(found: list[float], n: int, m: Model) -> tuple[float, int]:
-    e = [np.log(m.volume * max(n, 1)) - m.rate * x for x in found]
+    e = [_expected(x, n, m) for x in found]
     strong = [x for x in e if x < np.log(m.settings.significance)]
     return float(np.log1p(sum(-x for x in strong) if strong else max(0.0, -min(e, default=0.0)))), len(strong)
 
 
-def _per_text(words: Words, scores: np.ndarray) -> Iterator[list[tuple[int, int, float]]]:
-    ends = np.cumsum(words.per_text)
+def once_each(scores: np.ndarray, keys: np.ndarray, drift: float) -> list[tuple[int, int, float]]:
+    """Maximal scoring segments of all places; to a segment's score, a key's first place in it adds and others only take the drift."""
+    out, names = [], keys.tolist()
+    for a, b, x in segments(scores):
+        if len(set(names[a:b])) == b - a:
+            out.append((a, b, x))
+            continue
+        again = np.ones(b - a, dtype=bool)
+        again[np.unique(keys[a:b], return_index=True)[1]] = False
+        out.append((a, b, sum(y for _, _, y in segments(np.where(again, -drift, scores[a:b])))))
+    return out
+
+
+def _per_text(words: Words, scores: np.ndarray, drift: float) -> Iterator[list[tuple[int, int, float]]]:
+    ends, keys = np.cumsum(words.per_text), words.hashes()
     for a, b in zip(ends - words.per_text, ends, strict=True):
-        yield segments(scores[a:b])
+        yield once_each(scores[a:b], keys[a:b], drift)
 
 
 def _sampled(batches: Iterator[pd.DataFrame], shared) -> Iterator[pd.DataFrame]:
@@ -159,7 +177,7 @@ def _sampled(batches: Iterator[pd.DataFrame], shared) -> Iterator[pd.DataFrame]:
             for group in grouped(batch["text"][batch["label"] == label]):
                 words = Words(group)
                 scores = _scores(words, m.clean, m.toxic, m.share, m.settings, own=label)
-                yield pd.DataFrame({"label": label, "n": words.per_text, "found": [[x for _, _, x in one] for one in _per_text(words, scores)]})
+                yield pd.DataFrame({"label": label, "n": words.per_text, "found": [[x for _, _, x in one] for one in _per_text(words, scores, m.settings.drift)]})
 
 
 def _fit(m: Model, rows: pd.DataFrame) -> None:
@@ -208,7 +226,7 @@ def learn(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -
 
 
 def score_column(m: Model, text: Column | str, spark) -> Column:
-    """A struct of RESULT for each text; passage_* tell the strongest passage, in words, or are null."""
+    """A struct of RESULT for each text; passage_* tell the strongest passage, in words, or are null; passages holds all, in order."""
     shared = spark.sparkContext.broadcast(m)
 
     @F.pandas_udf(RESULT)
@@ -219,22 +237,23 @@ def score_column(m: Model, text: Column | str, spark) -> Column:
             for group in grouped(texts):
                 words = Words(group)
                 scores = _scores(words, m.clean, m.toxic, m.share, m.settings) if m.constant is None else np.zeros(len(words))
-                for n, found in zip(words.per_text, _per_text(words, scores), strict=True):
+                for n, found in zip(words.per_text, _per_text(words, scores, m.settings.drift), strict=True):
                     x, strong = _evidence([v for _, _, v in found], n, m)
                     best = max(found, key=lambda f: f[2], default=None) if strong else None
                     p = m.constant if m.constant is not None else 1 / (1 + np.exp(-(m.curve[0] + m.curve[1] * x)))
-                    out.append((p, strong, *(best or (None, None, None))))
-            frame = pd.DataFrame(out, columns=["score", "n_passages", "passage_start", "passage_end", "passage_score"])
+                    passages = [{"start": a, "end": b, "score": v} for a, b, v in found if _expected(v, n, m) < np.log(m.settings.significance)] if strong else []
+                    out.append((p, strong, *(best or (None, None, None)), passages))
+            frame = pd.DataFrame(out, columns=["score", "n_passages", "passage_start", "passage_end", "passage_score", "passages"])
             yield frame.astype({"passage_start": "Int32", "passage_end": "Int32", "n_passages": "int32", "passage_score": "float64"})
 
     return score(text)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """doc_id, held_out, score, predicted and the strongest passage of every row of docs."""
+    """doc_id, held_out, score, predicted the strongest passage and all significant passages of every row of docs."""
     m = learn(docs, labels, settings)
     scored = docs.select("doc_id", held_out().alias("held_out"), score_column(m, F.col("text"), docs.sparkSession).alias("r"))
-    return scored.select("doc_id", "held_out", "r.score", (F.col("r.score") >= 0.5).cast("int").alias("predicted"), "r.n_passages", "r.passage_start", "r.passage_end", "r.passage_score")
+    return scored.select("doc_id", "held_out", "r.score", (F.col("r.score") >= 0.5).cast("int").alias("predicted"), "r.n_passages", "r.passage_start", "r.passage_end", "r.passage_score", "r.passages")
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> DataFrame:

@@ -61,6 +61,28 @@ def test_toxicity_learns_and_counts_unseen_endings(spark):
     assert {r["doc_id"] for r in toxicity.without_toxic(docs, marks).collect()} == {i for i in out if not out[i]["predicted"]}
 
 
+def test_toxic_passages_of_words_that_came_before_are_all_found(spark):
+    bad = [f"{a}{b}" for a, b in zip(["grum", "snark", "blar", "vext", "drog", "quim"], ["ble", "ish", "gar", "ing", "lam", "pok"], strict=True)]
+    r, rows, known = random.Random(4), [], []
+    for i in range(600):
+        words = prose(i, 60).split()
+        if i % 4 == 0:
+            words[20:26] = r.sample(bad, 6)
+        rows.append((i, " ".join(words)))
+        known.append((i, 0, int(i % 4 == 0)))
+    single = " ".join(f"{prose(2000 + k, 40)} {w}" for k, w in enumerate(bad))
+    dense = " ".join(bad)
+    rows.append((5000, f"{single} {prose(2100, 60)} {dense} {prose(2101, 60)} {dense} {prose(2102, 60)}"))
+    docs, marks = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(known, "doc_id long, quality int, toxic int")
+    found = toxicity.toxicity(docs, marks).where("doc_id = 5000").first()
+    starts = [246 + 60, 246 + 60 + 6 + 60]
+    for start in starts:
+        assert any(p["start"] <= start and p["end"] >= start + 6 for p in found["passages"]), found
+    assert found["n_passages"] == len(found["passages"]) >= 2
+    keys = np.array([1, 1, 1, 2], dtype=np.uint64)
+    assert [(a, b, round(x, 6)) for a, b, x in toxicity.once_each(np.array([2.0, 2.0, 2.0, 3.0]), keys, 0.5)] == [(0, 4, 4.0)]
+
+
 def test_segments_are_the_maximal_ones():
     def slow(x: list[float]) -> list[tuple[int, int]]:
         """All maximal segments: the best one, then those on either side of it."""
