@@ -8,9 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir; where it is unset (one machine, tests) a temporary folder takes its place."""
+    """spark.checkpoint.dir. Where it is unset, a temporary folder takes its place on a local master; on a cluster that raises, as machines
+    do not see each other's folders."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        master = spark.conf.get("spark.master", "local")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors see")
         found = "file://" + tempfile.mkdtemp(prefix="spark-shared-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
