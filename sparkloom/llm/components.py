@@ -29,27 +29,35 @@ def _forest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     yield pd.DataFrame([p for p in pairs if p[0] != p[1]], columns=["a", "b"]).astype("int64")
 
 
+#: A node's neighbours are dealt to so many tasks.
+SALT = 8
+
+
 def components(edges: DataFrame) -> DataFrame:
     """edges (a long, b long, a != b) to (node, component): component is the smallest node that node is linked to.
 
     Alternating large and small stars (Kiveris and others): each step links a node's larger neighbours, then
     its smaller ones, to its smallest neighbour. A node's neighbours are never gathered in a row: the smallest is an
-    aggregate that is joined back. Before the first step each task brings its own edges to stars. Steps end when no node that others are linked to is linked itself; each step's edges
-    are a written table. An empty table gives an empty table.
+    aggregate that is joined back, in `SALT` parts, so that a centre of many links is not one task's. Before each step every task brings its own edges to
+    stars. Steps end when no node that others are linked to is linked itself; each step's edges are a written table. An empty table gives an empty table.
     """
     larger = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b")
     now = written(larger.mapInPandas(_forest, "a long, b long").distinct(), "edges")
     while not _stars(now):
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        large = _with_low(both, low).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         low = large.groupBy("a").agg(F.min("b").alias("m"))
-        linked = large.join(low, "a")
-        small = linked.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(low.select("a", F.col("m").alias("b"))).where("a != b").distinct()
-        now = written(small, "edges")
+        small = _with_low(large, low).select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(low.select("a", F.col("m").alias("b"))).where("a != b")
+        now = written(small.mapInPandas(_forest, "a long, b long").distinct(), "edges")
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
 
 
+def _with_low(edges: DataFrame, low: DataFrame) -> DataFrame:
+    dealt = low.withColumn("salt", F.explode(F.array(*[F.lit(k) for k in range(SALT)])))
+    return edges.withColumn("salt", F.pmod(F.xxhash64("b"), F.lit(SALT)).cast("int")).join(dealt, ["a", "salt"]).drop("salt")
+
+
 def _stars(edges: DataFrame) -> bool:
     """Whether every node has one link and links only to nodes without one."""
     ends = edges.select(F.col("a").alias("n"), F.lit(1).alias("linked"), F.lit(0).alias("centre")).unionByName(edges.select(F.col("b").alias("n"), F.lit(0).alias("linked"), F.lit(1).alias("centre")))

@@ -10,24 +10,24 @@ the one of lowest rank there is the signature's value. Two texts agree in a coor
 similarity. Only the ranks that are needed to fill all coordinates are looked at, about k ln k darts a text.
 
 Steps: (1) texts with equal words fall into one class, whose smallest doc_id stands for it; (2) classes with an equal
-band of `rows` coordinates meet; the smallest of a bucket is compared with each of the others; (3) linked classes
-become components; (4) where a bucket still holds several components, the pairs across them are looked at as well, so
-that no pair that shares a bucket stays unchecked unless already connected: first by signature inside the task that holds them (pairs whose agreement is
-4.5 standard errors under 0.8 go), the rest like those before. A comparison counts the shingles of both texts, each shingle being a 64-bit hash.
+band of `rows` coordinates meet: each is tied to the smallest of its bucket, and what is tied together is a cluster of candidates;
+(3) a cluster goes to one task as a cell, where all its texts are compared, first by signature (pairs whose agreement is
+4.5 standard errors under 0.8 go), then exactly, unless they are connected already; (4) links become components. A comparison counts the shingles of
+both texts, each occurrence of a shingle being a 32-bit mark; a false match adds less than the share of words / 2**32 to a similarity.
 
-Scale: what is shuffled is bands of classes, and shingles of candidate pairs only. A bucket of a large group
-costs one row for each member. In step 4 a bucket is cut into blocks of about `block` members, and a task compares two blocks at a time: no
-pair is a row unless its signatures agree, and no bucket is gathered.
+Scale: links leave a cell, never pairs: at most one for each text and cell. A cluster of more than `block` bytes has several cells. For such
+clusters the ties are verified first, and the texts of the largest part (a group of copies that hold a third of all rows) stay in their home cell;
+only texts outside of it visit the cluster's other cells, where they are compared as they stream by. What is shuffled is bands of classes and the marks and
+signatures of texts, once by row and, for candidates, once by cell.
 
 Edge cases: null and empty texts, and texts without words, are in no group (each is its own). Repeated rows and equal
-doc_ids with equal words fall into one class; of several texts under one doc_id one is compared. A null doc_id takes no
+doc_ids with equal words fall into one class; several texts under one doc_id belong together. A null doc_id takes no
 part: its group is null and it is kept. Other columns are ignored.
 """
 
 from __future__ import annotations
 
 import hashlib
-import itertools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import components
-from .store import small_batches, written
+from .store import written
 from .words import Words, fold, grouped, mix
 
 SHINGLE = 5
@@ -50,7 +50,12 @@ class Settings:
     similarity: float = 0.8
     bands: int = 24
     rows: int = 6
-    block: int = 512
+    block: int = 4 << 20  # bytes of signatures and marks that a cell holds
+
+    @property
+    def floor(self) -> float:
+        """The least agreement of signatures at which texts are compared: 4.5 standard errors under the similarity."""
+        return self.similarity - 4.5 * (self.similarity * (1 - self.similarity) / (self.bands * self.rows)) ** 0.5
 
 
 def shingles(words: Words, n_texts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -129,16 +134,27 @@ def _describe(batches: Iterator[pd.DataFrame], s: Settings) -> Iterator[pd.DataF
     for batch in batches:
         at = 0
         for group in grouped(batch["text"]):
-            words = Words(group)
             n = len(group)
-            signature = signatures(*shingles(words, n), n, k)
+            text, code, weight = shingles(Words(group), n)
+            signature = signatures(text, code, weight, n, k)
             banded = signature.reshape(n, s.bands, s.rows)
             band = np.zeros((n, s.bands), dtype=np.uint64)
             for r in range(s.rows):
                 band = mix(band * np.uint64(0x2545F4914F6CDD1D) + banded[:, :, r])
             band = mix(band + np.arange(s.bands, dtype=np.uint64)).view(np.int64)
-            low = (signature & np.uint64(0xFFFF)).astype("<u2")
-            yield pd.DataFrame({"doc_id": batch["doc_id"].iloc[at : at + n].astype("Int64").array, "signature": [x.tobytes() for x in low], "words": [_digest(b" ".join(one.split())) for one in group], "bands": list(band)})
+            short = (signature >> np.uint64(32)).astype(np.uint8)  # the lowest bits name the coordinate
+            found = marks(text, code, weight, n)
+            yield pd.DataFrame(
+                {
+                    "doc_id": batch["doc_id"].iloc[at : at + n].astype("Int64").array,
+                    "row": batch["row"].to_numpy()[at : at + n],
+                    "words": [_digest(b" ".join(one.split())) for one in group],
+                    "bands": list(band),
+                    "signature": [x.tobytes() for x in short],
+                    "marks": found,
+                    "size": np.array([len(x) + k for x in found], dtype=np.int32),
+                }
+            )
             at += n
 
 
@@ -161,112 +177,159 @@ def similarity(a: dict[bytes, int], b: dict[bytes, int]) -> float:
     return both / (sum(a.values()) + sum(b.values()) - both) if a and b else 0.0
 
 
-def marks(group: list[bytes]) -> list[bytes]:
-    """For each folded text a sorted array of 64-bit marks, one for each occurrence of each shingle: the k-th occurrence has a mark of
+def marks(text: np.ndarray, code: np.ndarray, weight: np.ndarray, n_texts: int) -> list[bytes]:
+    """For each text a sorted array of 32-bit marks, one for each occurrence of each shingle: the k-th occurrence has a mark of
     its own, so the marks that two texts share are the sum of the smaller counts."""
-    text, code, weight = shingles(Words(group), len(group))
     nth = np.arange(weight.sum()) - np.repeat(np.cumsum(weight) - weight, weight)
     text, mark = np.repeat(text, weight), mix(np.repeat(code, weight) + nth.astype(np.uint64) * np.uint64(0x632BE59BD9B4E019))
-    mark = mark[np.lexsort((mark, text))]
-    ends = np.cumsum(np.bincount(text, minlength=len(group)))
-    return [part.tobytes() for part in np.split(mark, ends[:-1])]
+    both = np.sort(text.astype(np.uint64) << np.uint64(32) | mark >> np.uint64(32))
+    ends = np.cumsum(np.bincount(text, minlength=n_texts)) * 4
+    data = (both & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes()
+    return [data[x:y] for x, y in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)]
 
 
-def _marked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        at = 0
-        for group in grouped(batch["text"]):
-            yield pd.DataFrame({"doc_id": batch["doc_id"].iloc[at : at + len(group)].array, "marks": marks(group)})
-            at += len(group)
+def _near(one: np.ndarray, others: list[np.ndarray], least: float) -> np.ndarray:
+    """Which of the other texts' marks are near duplicates of one's."""
+    sizes = np.array([len(x) for x in others])
+    good = np.minimum(sizes, len(one)) >= least * np.maximum(sizes, len(one))
+    chosen = np.flatnonzero(good)
+    if len(chosen):
+        flat = np.concatenate([others[j] for j in chosen])
+        there = one[np.minimum(np.searchsorted(one, flat), len(one) - 1)] == flat
+        both = np.add.reduceat(there.astype(np.int64), np.cumsum(sizes[chosen]) - sizes[chosen])
+        good[chosen] = both / (len(one) + sizes[chosen] - both) >= least
+    return good
 
 
 def _compare(batches: Iterator[pd.DataFrame], least: float) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        keep = np.zeros(len(batch), dtype=bool)
-        for j, (x, y) in enumerate(zip(batch["marks_a"], batch["marks_b"], strict=True)):
-            if min(len(x), len(y)) < least * max(len(x), len(y)) or not x or not y:
-                continue
-            a, b = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-            at = np.searchsorted(a, b)
-            both = int((a[np.minimum(at, len(a) - 1)] == b).sum())
-            keep[j] = both / (len(a) + len(b) - both) >= least
+        a, b = ([np.frombuffer(x, "<u4") for x in batch[c]] for c in ("marks_a", "marks_b"))
+        keep = np.array([bool(_near(x, [y], least)[0]) for x, y in zip(a, b, strict=True)], dtype=bool)
         yield batch.loc[keep, ["a", "b"]]
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, s: Settings) -> DataFrame:
-    """Those pairs (a < b) that are near duplicates."""
-    asked = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    marked = docs.join(asked, "doc_id", "left_semi").select("doc_id", "text").mapInPandas(_marked, "doc_id long, marks binary")
-    marked = written(marked.groupBy("doc_id").agg(F.min("marks").alias("marks")), "candidates")
-    two, one = (marked.select(F.col("doc_id").alias(x), F.col("marks").alias(f"marks_{x}")) for x in "ba")
-    full = pairs.join(two, "b").join(one, "a")
-    return written(full.mapInPandas(lambda it: _compare(it, s.similarity), "a long, b long"), "links")
-
-
-def _agreeing(batches: Iterator[pd.DataFrame], floor: float, k: int) -> Iterator[pd.DataFrame]:
-    """Pairs of different components whose signatures agree. Rows come sorted by `pair`, the hash of a bucket and two of its blocks."""
-    held = None
-    for batch in itertools.chain(batches, [None]):
-        rows = batch if held is None else held if batch is None else pd.concat([held, batch], ignore_index=True)
-        if rows is None or not len(rows):
-            continue
-        key = rows["pair"].to_numpy()
-        starts = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
-        stop = len(rows) if batch is None else starts[-1]  # the last group may go on in the next batch
-        ids, parts, block = (rows[c].to_numpy() for c in ("doc_id", "component", "block"))
-        signature = np.frombuffer(b"".join(rows["signature"].iloc[:stop]), dtype="<u2").reshape(-1, k)
-        out: list[tuple[np.ndarray, np.ndarray]] = []
-        for a, b in zip(starts, [*starts[1:], len(rows)], strict=True):
-            if a >= stop:
-                break
-            one_block = rows["low"].iat[a] == rows["high"].iat[a]
-            for i in range(a, b - 1):
-                rest = np.arange(i + 1, b)
-                rest = rest[(parts[i + 1 : b] != parts[i]) & (one_block | (block[i + 1 : b] != block[i]))]
-                if len(rest):
-                    rest = rest[(signature[rest] == signature[i]).mean(axis=1) >= floor]
-                    if len(rest):
-                        out.append((np.minimum(ids[rest], ids[i]), np.maximum(ids[rest], ids[i])))
-        if out:
-            yield pd.DataFrame({"a": np.concatenate([x for x, _ in out]), "b": np.concatenate([x for _, x in out])})
-        held = rows.iloc[stop:].reset_index(drop=True)
-
-
-def _across(members: DataFrame, s: Settings) -> DataFrame:
-    """Likely pairs across components in each bucket. members: band, n (its size), doc_id, component, signature."""
-    floor = s.similarity - 4.5 * (s.similarity * (1 - s.similarity) / (s.bands * s.rows)) ** 0.5
-    blocks = F.ceil(F.col("n") / s.block).cast("int")
-    placed = members.withColumn("block", F.pmod(F.xxhash64("doc_id"), blocks).cast("int"))
-    other = placed.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    low, high = F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")
-    dealt = other.select("band", low, high, "block", "doc_id", "component", "signature").withColumn("pair", F.xxhash64("band", "low", "high"))
-    together = dealt.repartition("pair").sortWithinPartitions("pair").drop("band")
-    return together.mapInPandas(lambda it: _agreeing(it, floor, s.bands * s.rows), "a long, b long")
+class _Cell:
+    """The held texts of a cell. A text's part is its component as far as it is known; texts of one part are never compared."""
+
+    def __init__(self, rows: pd.DataFrame, s: Settings):
+        self.least, self.floor = s.similarity, s.floor
+        self.ids, self.home, self.major = (rows[c].to_numpy() for c in ("doc_id", "home", "major"))
+        self.signature = np.frombuffer(b"".join(rows["signature"]), dtype=np.uint8).reshape(len(rows), -1)
+        self.marks = [np.frombuffer(x, "<u4") for x in rows["marks"]]
+        names, self.part = np.unique(rows["part"].to_numpy(), return_inverse=True)
+        self.number = {name: k for k, name in enumerate(names.tolist())}
+        self.root = np.arange(len(names))
+        self.links: list[tuple[int, int]] = []
+
+    def _link(self, part: int, others: np.ndarray, signature: np.ndarray, marks: np.ndarray, doc: int) -> None:
+        """Links a text to those of others (positions) that it is near to, each part once."""
+        others = others[self.root[self.part[others]] != self.root[part]]
+        if len(others):
+            others = others[(self.signature[others] == signature).mean(axis=1) >= self.floor]
+        if len(others):
+            for j in others[_near(marks, [self.marks[j] for j in others], self.least)].tolist():
+                old, new = self.root[self.part[j]], self.root[part]
+                if old != new:
+                    self.links.append((int(self.ids[j]), doc))
+                    self.root[self.root == old] = new
+
+    def within(self) -> None:
+        for i in range(len(self.ids) - 1):
+            self._link(self.part[i], np.arange(i + 1, len(self.ids)), self.signature[i], self.marks[i], int(self.ids[i]))
+
+    def visit(self, rows: pd.DataFrame) -> None:
+        """Texts whose home is another cell. Two texts outside of the largest part meet in the lower of their homes."""
+        for doc, part, home, signature, mark in zip(rows["doc_id"].tolist(), rows["part"].tolist(), rows["home"].tolist(), rows["signature"], rows["marks"], strict=True):
+            if part not in self.number:
+                self.number[part] = len(self.root)
+                self.root = np.append(self.root, len(self.root))
+            meets = np.flatnonzero(self.major | (self.home < home))
+            self._link(self.number[part], meets, np.frombuffer(signature, np.uint8), np.frombuffer(mark, "<u4"), doc)
+
+
+def _cells(batches: Iterator[pd.DataFrame], s: Settings) -> Iterator[pd.DataFrame]:
+    """Links between the texts of each cell. Rows come sorted by cell, held texts first; only held ones are kept in memory."""
+    waiting: list[pd.DataFrame] = []
+    cell: _Cell | None = None
+    now: int | None = None
+
+    def settle() -> list[tuple[int, int]]:
+        nonlocal cell, waiting
+        if cell is None and waiting:
+            cell = _Cell(pd.concat(waiting, ignore_index=True), s)
+            cell.within()
+        waiting = []
+        found = [] if cell is None else cell.links
+        if cell is not None:
+            cell.links = []
+        return found
+
+    for batch in batches:
+        out: list[tuple[int, int]] = []
+        key, visits = batch["cell"].to_numpy(), batch["visits"].to_numpy()
+        starts = np.flatnonzero(np.concatenate(([True], (key[1:] != key[:-1]) | (visits[1:] != visits[:-1]))))
+        for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(batch)], strict=True):
+            if key[a] != now:
+                out += settle()
+                cell, now = None, key[a]
+            rows = batch.iloc[a:b]
+            if not visits[a]:
+                waiting.append(rows)
+            else:
+                out += settle()
+                if cell is not None:
+                    cell.visit(rows)
+                    out += settle()
+        yield pd.DataFrame(out, columns=["a", "b"]).astype("int64")
+    last = settle()
+    if last:
+        yield pd.DataFrame(last, columns=["a", "b"]).astype("int64")
+
+
+def _verified(pairs: DataFrame, described: DataFrame, s: Settings) -> DataFrame:
+    """Those pairs that are near duplicates. described: doc_id and marks, each doc_id once."""
+    two, one = (described.select(F.col("doc_id").alias(x), F.col("marks").alias(f"marks_{x}")) for x in "ba")
+    return pairs.join(two, "b").join(one, "a").mapInPandas(lambda it: _compare(it, s.similarity), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """doc_id, group_id (the smallest doc_id of its group) and kept (whether it stands for the group) of every row."""
     s = settings
-    small_batches(docs.sparkSession)
-    source = docs.select("doc_id", "text")
-    described = written(source.mapInPandas(lambda it: _describe(it, s), "doc_id long, signature binary, words binary, bands array<long>"), "described")
-    # Texts of a class have the same bands and signature; its smallest doc_id stands for it.
-    classes = written(described.where("words IS NOT NULL AND doc_id IS NOT NULL").groupBy("words").agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"), F.first("signature").alias("signature")), "classes")
+    source = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("row"))
+    columns = "doc_id long, row long, words binary, bands array<long>, signature binary, marks binary, size int"
+    described = written(source.mapInPandas(lambda it: _describe(it, s), columns), "described")
+    # Texts of a class have the same bands and marks; the row with its smallest doc_id stands for it.
+    usable = described.where("words IS NOT NULL AND doc_id IS NOT NULL")
+    of_words = usable.groupBy("words").agg(F.min(F.struct("doc_id", "row")).alias("first"), F.first("bands").alias("bands"), F.first("size").alias("size"))
+    classes = written(of_words.select("words", "first.doc_id", "first.row", "bands", "size"), "classes")
     banded = classes.select("doc_id", F.explode("bands").alias("band"))
-    buckets = banded.groupBy("band").agg(F.min("doc_id").alias("a"), F.count("*").alias("n")).where("n > 1")
-    members = written(banded.join(buckets.drop("n"), "band"), "members")
-    star = written(members.where("doc_id != a").select("a", F.col("doc_id").alias("b")).distinct(), "pairs")
-    links = _verified(star, source, s)
-    found = written(components(links), "components")
-    placed = members.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("band", "doc_id", "a", F.coalesce("component", "doc_id").alias("component"))
-    several = placed.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n")).where("low != high").select("band", "n")
-    open_ = written(placed.join(several, "band").select("band", "n", "doc_id", "component"), "open")
-    if not open_.isEmpty():
-        across = _across(open_.join(classes.select("doc_id", "signature"), "doc_id"), s).distinct()
-        across = written(across.join(star, ["a", "b"], "left_anti"), "pairs")
-        more = _verified(across, source, s) if not across.isEmpty() else across
-        if not more.isEmpty():
-            found = written(components(links.unionByName(more)), "components")
+    buckets = banded.groupBy("band").agg(F.min("doc_id").alias("a"), F.count("*").alias("n")).where("n > 1").drop("n")
+    pairs = written(banded.join(buckets, "band").where("doc_id != a").select("a", F.col("doc_id").alias("b")).distinct(), "pairs")
+    clusters = written(components(pairs), "clusters").withColumnsRenamed({"node": "doc_id", "component": "cluster"})
+    asked = classes.join(clusters, "doc_id").select("doc_id", "row", "cluster", F.col("size").cast("long").alias("size"))
+    sizes = asked.groupBy("cluster").agg(F.ceil(F.sum("size") / s.block).cast("int").alias("blocks"))
+    placed = written(asked.join(sizes, "cluster"), "placed")
+    texts = described.select("row", "signature", "marks")
+
+    wide = placed.where("blocks > 1").select("doc_id", "row", "cluster", "size")
+    star = None
+    if wide.isEmpty():
+        parts = placed.select("*", F.col("doc_id").alias("part"), F.lit(False).alias("major"))
+    else:
+        # Clusters of several blocks: links to each bucket's smallest first, so that their largest part need not go from block to block.
+        theirs = written(texts.join(wide, "row").groupBy("doc_id").agg(F.min("marks").alias("marks")), "wide")
+        star = written(_verified(pairs.join(theirs.select(F.col("doc_id").alias("a")), "a", "left_semi"), theirs, s), "links")
+        known = written(components(star), "parts").withColumnsRenamed({"node": "doc_id", "component": "part"})
+        parts = placed.join(known, "doc_id", "left").withColumn("part", F.coalesce("part", "doc_id"))
+        by_size = wide.join(known, "doc_id").groupBy("cluster", "part").agg(F.sum("size").alias("size"))
+        most = by_size.groupBy("cluster").agg(F.max(F.struct("size", "part")).getField("part").alias("most"))
+        parts = parts.join(most, "cluster", "left").withColumn("major", F.coalesce(F.col("part") == F.col("most"), F.lit(False))).drop("most")
+    home = F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")
+    dealt = parts.withColumn("home", home).withColumn("block", F.explode(F.when(F.col("major"), F.array("home")).otherwise(F.sequence(F.lit(0), F.col("blocks") - 1))))
+    dealt = dealt.select("doc_id", "row", "part", "major", "home", F.xxhash64("cluster", "block").alias("cell"), (F.col("home") != F.col("block")).alias("visits"))
+    cells = texts.join(dealt, "row").drop("row").repartition("cell").sortWithinPartitions("cell", "visits")
+    links = written(cells.mapInPandas(lambda it: _cells(it, s), "a long, b long"), "links")
+    found = written(components(links if star is None else links.unionByName(star)), "components")
     grouped_classes = classes.select("words", F.col("doc_id").alias("class")).join(found.withColumnRenamed("node", "class"), "class", "left")
     grouped_ = described.select("doc_id", "words").join(grouped_classes, "words", "left")
     group = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "class", "doc_id"))

@@ -8,18 +8,19 @@ from pyspark.sql import functions as F
 import public_tokenizers
 
 from . import chat, decontaminate, html, licenses, line_dedup, near_dup, neighbours, packing, token_files, toxicity
+from .store import spread
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{table}.parquet"))
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return toxicity.toxicity(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+    return toxicity.toxicity(_read(spark, sf_dir, "documents"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontaminate.decontamination(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+    return decontaminate.decontamination(_read(spark, sf_dir, "documents"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,24 +1,17 @@
-"""Shared folder for intermediate tables.
+"""Intermediate tables in the shared folder of the session, and the size of Arrow batches.
 
-The folder is the one that the session names in spark.checkpoint.dir. Only where that is unset (tests on one
-machine) a temporary folder takes its place. A written table cuts lineage: a lost executor costs its running
-tasks, never a finished step.
+A written table cuts lineage: a lost executor costs its running tasks, never a finished step.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-
-def shared_dir(spark: SparkSession) -> str:
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="spark-shared-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
+from ..storage import shared_dir
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
@@ -28,7 +21,8 @@ def fresh_path(spark: SparkSession, name: str) -> str:
 def written(df: DataFrame, name: str) -> DataFrame:
     """The same rows, read from a table in the shared folder."""
     path = fresh_path(df.sparkSession, name)
-    df.write.parquet(path)
+    with limited_batches(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -36,9 +30,29 @@ def written(df: DataFrame, name: str) -> DataFrame:
 BATCH_BYTES = 8 << 20
 
 
+_NAME = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
 def small_batches(spark: SparkSession) -> None:
-    """Sets the session's largest Arrow batch for long texts, unless it is smaller already."""
-    name = "spark.sql.execution.arrow.maxBytesPerBatch"
-    now = spark.conf.get(name).rstrip("b")
+    """Sets the session's largest Arrow batch for long texts, unless it is smaller already. For results that are computed later by whoever
+    asked for them; jobs that run here restore the setting."""
+    now = spark.conf.get(_NAME).rstrip("b")
     if not now.isdigit() or not 0 < int(now) <= BATCH_BYTES:
-        spark.conf.set(name, f"{BATCH_BYTES}b")
+        spark.conf.set(_NAME, f"{BATCH_BYTES}b")
+
+
+@contextmanager
+def limited_batches(spark: SparkSession) -> Iterator[None]:
+    before = spark.conf.get(_NAME)
+    small_batches(spark)
+    try:
+        yield
+    finally:
+        spark.conf.set(_NAME, before)
+
+
+def spread(table: DataFrame) -> DataFrame:
+    """A plain scan, dealt anew where it has fewer partitions than there are cores: a small file of one row group would be one task.
+    A table of many files or row groups stays as it is."""
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table

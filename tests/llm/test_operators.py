@@ -159,7 +159,7 @@ def test_near_duplicates_against_all_pairs(spark):
             if near_dup.similarity(weights[a], weights[b]) >= 0.8 and group[a] != group[b]:
                 low, high = sorted((group[a], group[b]))
                 group = [low if g == high else g for g in group]
-    for settings in (near_dup.Settings(), near_dup.Settings(block=2, bands=60, rows=3)):  # the second has many chance meetings, over several blocks
+    for settings in (near_dup.Settings(), near_dup.Settings(block=4000, bands=60, rows=3)):  # the second has many chance meetings, and clusters of several cells
         out = {r["doc_id"]: r for r in near_dup.near_duplicates(docs, settings).collect()}
         assert {i: out[i]["group_id"] for i in out} == dict(enumerate(group))
     assert sorted(r["doc_id"] for r in near_dup.one_of_each_group(docs).collect()) == sorted(set(group))
