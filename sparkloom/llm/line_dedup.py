@@ -7,12 +7,12 @@ with or without punctuation. Chunks: from each cut or line begin to the first on
 away. Chunks may overlap. A passage of 51 words or more in one line holds a whole chunk, whatever stands around it.
 
 A chunk that occurs again anywhere is removed, except at its first place (smallest doc_id, then place in the text).
-Chunks are grouped by a 128-bit digest and compared byte by byte: a group must hold one text only; if it holds more, nothing
+Chunks are grouped by a 64-bit digest and compared byte by byte: a group must hold one text only; if it holds more, nothing
 of it is removed.
 
-Scale: digests are counted first, after a sum in each task; places of repeated ones are joined with the texts, and the bytes there
-are compared, equal ones of a task having become one, so a passage that a third of all texts share costs one row for each task. The largest
-shuffle is the texts once, with the bytes at repeated places. Units, boundaries and digests of many texts are computed at once with arrays.
+Scale: chunks are found once, with arrays over many texts at a time, and kept as a table of digests and places. Digests are counted after a sum in each task; only
+places of repeated ones go on. Texts are shuffled once, to meet their places; bytes are compared where they then lie, equal ones of a batch having become
+one, so a passage that a third of all texts share costs one row for each batch. Intermediate tables are deleted when the next one is written.
 
 Edge cases: null texts stay null, empty ones empty. A text whose chunks are all removed becomes what is left, maybe
 empty; its row stays. Rows with equal doc_id and text count as one document and are changed alike. A null doc_id comes
@@ -26,15 +26,19 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .store import small_batches, written
+from .store import dropped, small_batches, written
 from .words import GROUP_BYTES, mix
 
-#: Odd bases of the two polynomial hashes of bytes, and their inverses modulo 2**64.
+#: Odd bases of the polynomial hashes of bytes and of pairs of words, and the first one's inverse modulo 2**64.
 BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
-INVERSES = tuple(pow(b, -1, 1 << 64) for b in BASES)
+INVERSE = pow(BASES[0], -1, 1 << 64)
+
+
+SPACE = b" \t\n\x0b\x0c\r"
 
 
 @dataclass(frozen=True)
@@ -60,48 +64,48 @@ def _powers(base: int, n: int) -> np.ndarray:
 
 
 class _Hashes:
-    """Hashes of any range of data, by the first `kinds` bases."""
+    """Polynomial hashes of any range of data."""
 
-    def __init__(self, data: np.ndarray, kinds: int):
-        n = len(data) + 1
-        values = data.astype(np.uint64) + np.uint64(1)
-        zero = np.zeros(1, dtype=np.uint64)
-        self.sums = [np.concatenate((zero, np.cumsum(values * _powers(b, n)[:-1], dtype=np.uint64))) for b in BASES[:kinds]]
-        self.back = [_powers(b, n) for b in INVERSES[:kinds]]
+    def __init__(self, data: np.ndarray):
+        self.sums = np.zeros(len(data) + 1, dtype=np.uint64)
+        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _powers(BASES[0], len(data)), out=self.sums[1:])
+        self.back = _powers(INVERSE, len(data) + 1)
 
     def raw(self, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
-        """By the first base, not yet spread."""
-        return (self.sums[0][stop] - self.sums[0][start]) * self.back[0][start]
+        """Not yet spread."""
+        return (self.sums[stop] - self.sums[start]) * self.back[start]
 
-    def of(self, start: np.ndarray, stop: np.ndarray, k: int) -> np.ndarray:
-        return mix((self.sums[k][stop] - self.sums[k][start]) * self.back[k][start] + (stop - start).astype(np.uint64))
+    def of(self, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+        return mix(self.raw(start, stop) + (stop - start).astype(np.uint64))
 
 
-def chunks(texts: list[bytes], s: Settings, whole: bool = True) -> dict[str, np.ndarray]:
+def chunks(texts: list[bytes], s: Settings) -> dict[str, np.ndarray]:
     """text, start and stop of each chunk in its text, begin and end of its bytes without white space around them (in all texts
-    side by side), and its digest in two parts, of which the second is left out unless `whole`."""
+    side by side), and the digest of these bytes. Both starts and stops of a text's chunks never fall."""
     data = np.frombuffer(b"".join(texts), dtype=np.uint8)
-    ends = np.cumsum([len(t) for t in texts])
-    none = {c: np.zeros(0, dtype=np.int64) for c in ("text", "start", "stop", "begin", "end", "high", "low")}
+    sizes = np.array([len(t) for t in texts], dtype=np.int64)
+    ends = np.cumsum(sizes)
+    none = {c: np.zeros(0, dtype=np.int64) for c in ("text", "start", "stop", "begin", "end", "digest")}
     if not len(data):
         return none
-    first = np.zeros(len(data), dtype=bool)
-    first[(ends - [len(t) for t in texts])[[len(t) > 0 for t in texts]]] = True
-    before = np.concatenate(([0], data[:-1]))
-    before[first] = 0
-    space = (data == 32) | (data >= 9) & (data <= 13)
-    word = ~space & ((before == 32) | (before >= 9) & (before <= 13) | first)
-    line = data == 10
-    begins = np.concatenate((first, [True])) | np.concatenate(([False], line))  # where units begin; the last is the end
-    words = np.concatenate(([0], np.cumsum(word)))
-    hashes = _Hashes(data, 1 + whole)
-    place = np.flatnonzero(word)
+    first = (ends - sizes)[sizes > 0]  # where texts begin
+    space = (data == 32) | (data - np.uint8(9) < 5)
+    after = np.concatenate(([True], space[:-1]))
+    after[first] = True
+    place = np.flatnonzero(~space & after)  # the begins of words
+    if not len(place):
+        return none
+    before = np.append(space[1:], True)
+    before[first[1:] - 1] = True
+    over = np.flatnonzero(~space & before) + 1  # the ends of words
+    lines = np.union1d(first, np.flatnonzero(data == 10) + 1)  # where lines begin; maybe the end of all
+    hashes = _Hashes(data)
+    cuts = np.zeros(0, dtype=np.int64)
     if len(place) > s.window:
-        over = np.flatnonzero(~space & np.append(space[1:] | first[1:], True)) + 1  # the ends of words
         own = hashes.raw(place, over)
         pair = mix(np.concatenate((own[:1], own[:-1])) * np.uint64(BASES[1]) + own)
         # The order of places: begins of lines (no cuts are made there), then begins of sentences, then all others; equal ones by place.
-        on = np.cumsum(begins[:-1])[place]
+        on = np.searchsorted(lines, place, side="right")
         order = pair >> np.uint64(33) | np.uint64(1 << 31)
         ended = data[over - 1]
         order[1:][((ended == 46) | (ended == 33) | (ended == 63))[:-1]] &= np.uint64((1 << 31) - 1)
@@ -111,41 +115,26 @@ def chunks(texts: list[bytes], s: Settings, whole: bool = True) -> dict[str, np.
         while size < s.window:
             step = min(size, s.window - size)
             least, size = np.minimum(least[:-step], least[step:]), size + step
-        chosen = np.unique(least)
-        begins[place[(chosen[chosen >= np.uint64(1 << 32)] & np.uint64((1 << 32) - 1)).astype(np.int64)]] = True
-    starts = np.flatnonzero(begins)
-    # Bytes of a range without white space around it: its first byte that is none, and the end of its last.
-    solid = np.flatnonzero(~space)
-    if not len(solid):
-        return none
-    after_last = np.concatenate(([0], np.maximum.accumulate(np.where(space, 0, np.arange(1, len(data) + 1)))))
-    next_solid = np.append(solid, len(data))
-
-    def bare(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        left = np.minimum(next_solid[np.searchsorted(solid, x)], y)
-        return left, np.maximum(after_last[y], left)
-
-    total = words[starts]
-    text_of = np.searchsorted(ends, starts[:-1], side="right")
+        chosen = least[np.concatenate(([True], least[1:] != least[:-1]))]
+        cuts = place[(chosen[chosen >= np.uint64(1 << 32)] & np.uint64((1 << 32) - 1)).astype(np.int64)]
+    starts = np.union1d(np.union1d(lines, cuts), [len(data)])  # where units begin; the last is the end
+    total = np.searchsorted(place, starts)  # words before
+    text = np.searchsorted(ends, starts[:-1], side="right")
     begin = np.arange(len(starts) - 1)
     stop = np.minimum(np.maximum(begin + 2, np.searchsorted(total, total[begin] + s.min_words)), len(starts) - 1)
-    text_stop = np.searchsorted(starts, ends[text_of[begin]])  # the first unit after the text
-    stop = np.minimum(stop, text_stop)
+    stop = np.minimum(stop, np.searchsorted(starts, ends[text]))  # the first unit after the text
     good = (stop - begin >= 2) & (total[stop] - total[begin] >= s.min_words)
-    begin, stop = begin[good], stop[good]
-    x, y = starts[begin], starts[stop]
-    left, right = bare(x, y)
-    text = text_of[begin]
-    base = ends[text] - np.array([len(t) for t in texts])[text]
-    low = {"low": hashes.of(left, right, 1).view(np.int64)} if whole else {}
-    return {"text": text, "start": x - base, "stop": y - base, "begin": left, "end": right, "high": hashes.of(left, right, 0).view(np.int64)} | low
+    begin, stop, text = begin[good], stop[good], text[good]
+    left, right = place[total[begin]], over[total[stop] - 1]
+    base = (ends - sizes)[text]
+    return {"text": text, "start": starts[begin] - base, "stop": starts[stop] - base, "begin": left, "end": right, "digest": hashes.of(left, right).view(np.int64)}
 
 
-def _groups(texts: Iterable[str | None]) -> Iterator[list[bytes]]:
+def _groups(texts: Iterable[bytes | None]) -> Iterator[list[bytes]]:
     group: list[bytes] = []
     size = 0
-    for text in texts:
-        one = b"" if text is None else text.encode("utf-8", "surrogatepass")
+    for one in texts:
+        one = one or b""
         if group and size + len(one) > GROUP_BYTES:
             yield group
             group, size = [], 0
@@ -155,36 +144,44 @@ def _groups(texts: Iterable[str | None]) -> Iterator[list[bytes]]:
         yield group
 
 
-def _digests(batches: Iterator[pd.DataFrame], s: Settings) -> Iterator[pd.DataFrame]:
+def _chunked(batches: Iterator[pa.RecordBatch], s: Settings) -> Iterator[pa.RecordBatch]:
+    """Digests and spans (start, and length in the low 32 bits) of the chunks of each text."""
     for batch in batches:
-        for group in _groups(batch["text"]):
-            yield pd.DataFrame({"high": chunks(group, s, whole=False)["high"]})
+        digests, spans, counts = [], [], [np.zeros(0, dtype=np.int64)]
+        for group in _groups(batch.column("data").to_pylist()):
+            found = chunks(group, s)
+            digests.append(found["digest"])
+            spans.append(found["start"] << 32 | (found["stop"] - found["start"]))
+            counts.append(np.bincount(found["text"], minlength=len(group)))
+        ends = pa.array(np.concatenate(([0], np.cumsum(np.concatenate(counts)))).astype(np.int32))
+        lists = [pa.ListArray.from_arrays(ends, pa.array(np.concatenate(x) if x else np.zeros(0, dtype=np.int64), type=pa.int64())) for x in (digests, spans)]
+        yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("key"), *lists], names=["id", "key", "digests", "spans"])
 
 
-def _places(batches: Iterator[pd.DataFrame], s: Settings) -> Iterator[pd.DataFrame]:
+def _bodies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Bytes of the chunks that come again; each text of a digest once for each batch."""
     for batch in batches:
-        at = 0
-        for group in _groups(batch["text"]):
-            found = chunks(group, s)
-            row = at + found["text"]
-            ends = np.cumsum([len(t) for t in group])
-            base = (ends - [len(t) for t in group])[found["text"]]
-            where = {"start": found["start"], "stop": found["stop"], "begin": found["begin"] - base, "end": found["end"] - base}
-            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64").array[row], "key": batch["key"].to_numpy()[row], "high": found["high"], "low": found["low"]} | {c: v.astype(np.int32) for c, v in where.items()})
-            at += len(group)
+        seen: dict[tuple[int, bytes], None] = {}
+        for data, again in zip(batch["data"], batch["again"], strict=True):
+            for x in again:
+                start = x["span"] >> 32
+                seen[x["digest"], data[start : start + (x["span"] & 0xFFFFFFFF)].strip(SPACE)] = None
+        yield pd.DataFrame(list(seen), columns=["digest", "body"]).astype({"digest": "int64"})
 
 
 def _cut(texts: pd.Series, spans: pd.Series) -> pd.Series:
     out = []
-    for text, gone in zip(texts, spans, strict=True):
-        if text is not None and gone is not None:
-            data, kept, at = text.encode("utf-8", "surrogatepass"), [], 0
-            for span in gone:
-                if span["start"] > at:
-                    kept.append(data[at : span["start"]])
-                at = max(at, span["stop"])
-            text = b"".join([*kept, data[at:]]).decode("utf-8", "surrogatepass")
-        out.append(text)
+    for data, gone in zip(texts, spans, strict=True):
+        if data is None or gone is None:
+            out.append(None)
+            continue
+        kept, at = [], 0
+        for span in np.sort(gone).tolist():
+            start = span >> 32
+            if start > at:
+                kept.append(data[at:start])
+            at = max(at, start + (span & 0xFFFFFFFF))
+        out.append(b"".join([*kept, data[at:]]))
     return pd.Series(out, dtype=object)
 
 
@@ -193,27 +190,36 @@ def without_repeats(docs: DataFrame, settings: Settings = Settings(), count: str
     s = settings
     small_batches(docs.sparkSession)
     key = F.xxhash64("doc_id", "text").alias("key")
-    keyed = docs.select("doc_id", key, "text")
-    # Digests that come twice, then their places, then the bytes at those places.
-    often = keyed.select("text").mapInPandas(lambda it: _digests(it, s), "high long").groupBy("high").agg(F.count("*").alias("n")).where("n > 1").select("high")
-    often = written(often, "digests")
-    places = keyed.mapInPandas(lambda it: _places(it, s), "doc_id long, key long, high long, low long, start int, stop int, begin int, end int")
-    spots = F.collect_set(F.struct("high", "low", "start", "stop", "begin", "end")).alias("spots")
-    spotted = written(places.join(often, "high", "left_semi").groupBy("doc_id", "key").agg(spots), "places")
-    texts = keyed.where("text IS NOT NULL").withColumnsRenamed({"doc_id": "_id", "key": "_key"})
-    there = spotted.join(texts, spotted["doc_id"].eqNullSafe(texts["_id"]) & (spotted["key"] == texts["_key"]))
-    body = F.expr("transform(spots, x -> struct(x.high, x.low, x.start, substring(CAST(text AS BINARY), x.begin + 1, x.end - x.begin) AS body))")
-    bodies = there.select("doc_id", "key", F.inline(body))
-    same = bodies.groupBy("high", "low").agg(F.collect_set("body").alias("bodies"), F.min(F.struct("doc_id", "key", "start")).alias("first"))
-    repeated = written(same.where("size(bodies) = 1").select("high", "low", "first"), "repeated")
-    again = spotted.select("doc_id", "key", F.inline("spots")).join(repeated, ["high", "low"]).where(~F.struct("doc_id", "key", "start").eqNullSafe(F.col("first")))
-    spans = again.groupBy("doc_id", "key").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
-    spans = spans.select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), F.array_sort("spans").alias("_spans"))
-
-    side = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("_doc"), F.xxhash64("doc_id", "text").alias("_row"))
-    joined = side.join(spans, F.col("_doc").eqNullSafe(F.col("_id")) & (F.col("_row") == F.col("_key")), "left")
-    text = F.when(F.col("_spans").isNull(), F.col("row.text")).otherwise(F.pandas_udf(_cut, "string")("row.text", "_spans")).alias("text")
-    changed = joined.select("row", text, F.coalesce(F.size("_spans"), F.lit(0)).alias("removed"))
+    source = docs.where("text IS NOT NULL").select(F.col("doc_id").alias("id"), key, F.col("text").cast("binary").alias("data"))
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    chunked = written(source.mapInArrow(lambda it: _chunked(it, s), f"id {kind}, key long, digests array<long>, spans array<long>"), "chunks")
+    # Digests that come twice, their places, and the first of these.
+    often = chunked.select(F.explode("digests").alias("digest")).groupBy("digest").agg(F.count("*").alias("n")).where("n > 1").select("digest")
+    each = chunked.select("id", "key", F.explode(F.arrays_zip("digests", "spans")).alias("x")).select("id", "key", F.col("x.digests").alias("digest"), F.col("x.spans").alias("span"))
+    places = written(each.join(often.hint("merge"), "digest", "left_semi").distinct(), "places")
+    dropped(chunked)
+    first = places.groupBy("digest").agg(F.min(F.struct("id", "key", "span")).alias("first"))
+    here = F.struct("id", "key", "span").eqNullSafe(F.col("first"))
+    again = places.join(first, "digest").groupBy("id", "key").agg(F.collect_list(F.struct("digest", "span", (~here).alias("gone"))).alias("again"))
+
+    # The texts' one shuffle.
+    side = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("_doc"), F.xxhash64("doc_id", "text").alias("_key"))
+    on = F.col("_doc").eqNullSafe(F.col("id")) & (F.col("_key") == F.col("key"))
+    joined = written(side.join(again.hint("merge"), on, "left").select("row", "id", "key", "again"), "joined")
+    dropped(places)
+    data = F.col("row.text").cast("binary").alias("data")
+    bodies = joined.where("again IS NOT NULL").select(data, F.transform("again", lambda x: F.struct(x["digest"].alias("digest"), x["span"].alias("span"))).alias("again")).mapInPandas(_bodies, "digest long, body binary")
+    unlike = written(bodies.groupBy("digest").agg(F.min("body").alias("low"), F.max("body").alias("high")).where("low != high").select("digest"), "unlike")
+    if unlike.isEmpty():
+        gone = F.filter("again", lambda x: x["gone"])
+    else:
+        spared = joined.select("id", "key", F.inline("again")).join(unlike, "digest").groupBy("id", "key").agg(F.collect_set("digest").alias("spared"))
+        spared = spared.select(F.col("id").alias("_id"), F.col("key").alias("_of"), "spared")
+        joined = joined.join(spared, F.col("id").eqNullSafe(F.col("_id")) & (F.col("key") == F.col("_of")), "left")
+        gone = F.filter("again", lambda x: x["gone"] & ~F.coalesce(F.array_contains("spared", x["digest"]), F.lit(False)))
+    marked = joined.select("row", F.transform(gone, lambda x: x["span"]).alias("gone")).withColumn("gone", F.when(F.size("gone") > 0, F.col("gone")))
+    cut = F.pandas_udf(_cut, "binary")(F.when(F.col("gone").isNotNull(), data), F.col("gone")).cast("string")
+    changed = marked.select("row", F.when(F.col("gone").isNull(), F.col("row.text")).otherwise(cut).alias("text"), F.coalesce(F.size("gone"), F.lit(0)).alias("removed"))
     kinds = {f.name: f.dataType for f in docs.schema.fields}
     columns = [F.col("text") if c == "text" else F.when(F.col("removed") > 0, F.char_length("text")).otherwise(F.col("row.n_chars")).cast(kinds[c]).alias(c) if c == "n_chars" else F.col(f"row.`{c}`") for c in docs.columns]
     return changed.select(*columns, *([F.col("removed").cast("long").alias(count)] if count else []))

@@ -26,6 +26,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def dropped(*tables: DataFrame) -> None:
+    """Deletes written tables that no later job reads."""
+    for table in tables:
+        files = table.inputFiles()
+        if files:
+            folder = table.sparkSession._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+            folder.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 #: Bytes of rows that a Python worker is sent at once. Spark's default of 64 MB costs a worker several times as much.
 BATCH_BYTES = 8 << 20
 
