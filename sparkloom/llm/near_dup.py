@@ -327,7 +327,7 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     home = F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")
     dealt = parts.withColumn("home", home).withColumn("block", F.explode(F.when(F.col("major"), F.array("home")).otherwise(F.sequence(F.lit(0), F.col("blocks") - 1))))
     dealt = dealt.select("doc_id", "row", "part", "major", "home", F.xxhash64("cluster", "block").alias("cell"), (F.col("home") != F.col("block")).alias("visits"))
-    cells = texts.join(dealt, "row").drop("row").repartition("cell").sortWithinPartitions("cell", "visits")
+    cells = texts.join(dealt.hint("merge"), "row").drop("row").repartition("cell").sortWithinPartitions("cell", "visits")
     links = written(cells.mapInPandas(lambda it: _cells(it, s), "a long, b long"), "links")
     found = written(components(links if star is None else links.unionByName(star)), "components")
     grouped_classes = classes.select("words", F.col("doc_id").alias("class")).join(found.withColumnRenamed("node", "class"), "class", "left")
