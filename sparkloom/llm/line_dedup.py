@@ -196,17 +196,19 @@ def without_repeats(docs: DataFrame, settings: Settings = Settings(), count: str
     # Digests that come twice, their places, and the first of these.
     often = chunked.select(F.explode("digests").alias("digest")).groupBy("digest").agg(F.count("*").alias("n")).where("n > 1").select("digest")
     each = chunked.select("id", "key", F.explode(F.arrays_zip("digests", "spans")).alias("x")).select("id", "key", F.col("x.digests").alias("digest"), F.col("x.spans").alias("span"))
-    places = written(each.join(often.hint("merge"), "digest", "left_semi").distinct(), "places")
+    places = written(each.join(often.hint("merge"), "digest", "left_semi"), "places")
     dropped(chunked)
     first = places.groupBy("digest").agg(F.min(F.struct("id", "key", "span")).alias("first"))
     here = F.struct("id", "key", "span").eqNullSafe(F.col("first"))
-    again = places.join(first, "digest").groupBy("id", "key").agg(F.collect_list(F.struct("digest", "span", (~here).alias("gone"))).alias("again"))
+    of_text = F.collect_set(F.struct("digest", "span", (~here).alias("gone"))).alias("again")
+    again = written(places.join(first, "digest").groupBy("id", "key").agg(of_text), "again")
+    dropped(places)
 
     # The texts' one shuffle.
     side = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("_doc"), F.xxhash64("doc_id", "text").alias("_key"))
     on = F.col("_doc").eqNullSafe(F.col("id")) & (F.col("_key") == F.col("key"))
     joined = written(side.join(again.hint("merge"), on, "left").select("row", "id", "key", "again"), "joined")
-    dropped(places)
+    dropped(again)
     data = F.col("row.text").cast("binary").alias("data")
     bodies = joined.where("again IS NOT NULL").select(data, F.transform("again", lambda x: F.struct(x["digest"].alias("digest"), x["span"].alias("span"))).alias("again")).mapInPandas(_bodies, "digest long, body binary")
     unlike = written(bodies.groupBy("digest").agg(F.min("body").alias("low"), F.max("body").alias("high")).where("low != high").select("digest"), "unlike")

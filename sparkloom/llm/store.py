@@ -19,10 +19,10 @@ def fresh_path(spark: SparkSession, name: str) -> str:
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """The same rows, read from a table in the shared folder."""
+    """The same rows, read from a table in the shared folder. The job's shuffle files go when it ends, as nothing else reads them."""
     path = fresh_path(df.sparkSession, name)
-    with limited_batches(df.sparkSession):
-        df.write.parquet(path)
+    with _set(df.sparkSession, {_BATCH: _batch(df.sparkSession), "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}):
+        df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -39,25 +39,34 @@ def dropped(*tables: DataFrame) -> None:
 BATCH_BYTES = 8 << 20
 
 
-_NAME = "spark.sql.execution.arrow.maxBytesPerBatch"
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def _batch(spark: SparkSession) -> str:
+    now = spark.conf.get(_BATCH)
+    bare = now.rstrip("b")
+    return now if bare.isdigit() and 0 < int(bare) <= BATCH_BYTES else f"{BATCH_BYTES}b"
 
 
 def small_batches(spark: SparkSession) -> None:
     """Sets the session's largest Arrow batch for long texts, unless it is smaller already. For results that are computed later by whoever
     asked for them; jobs that run here restore the setting."""
-    now = spark.conf.get(_NAME).rstrip("b")
-    if not now.isdigit() or not 0 < int(now) <= BATCH_BYTES:
-        spark.conf.set(_NAME, f"{BATCH_BYTES}b")
+    spark.conf.set(_BATCH, _batch(spark))
 
 
 @contextmanager
-def limited_batches(spark: SparkSession) -> Iterator[None]:
-    before = spark.conf.get(_NAME)
-    small_batches(spark)
+def _set(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    before = {name: spark.conf.get(name, None) for name in values}
+    for name, value in values.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.set(_NAME, before)
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
 
 
 def spread(table: DataFrame) -> DataFrame:
