@@ -164,10 +164,14 @@ def filtered(rows: DataFrame, condition: P.Condition, fold: bool = True) -> Data
                 rows = joins.in_keys(rows, column, test.value)
             elif test.kind == "not" and test.parts[0].kind == "in":
                 rows = joins.not_in_keys(rows, column, test.parts[0].value)
-            elif test.kind == "any" and len(test.parts) > LONG_LIST and all(p.kind == "eq" for p in test.parts):
+            elif test.kind == "any" and sum(p.kind == "eq" for p in test.parts) > LONG_LIST:
                 field = rows.schema[column]
-                values = rows.sparkSession.createDataFrame([(p.value,) for p in test.parts], f"v {field.dataType.simpleString()}")
-                rows = joins.in_keys(rows, column, values)
+                listed = rows.sparkSession.createDataFrame([(p.value,) for p in test.parts if p.kind == "eq"], f"v {field.dataType.simpleString()}")
+                others = [p for p in test.parts if p.kind != "eq"]
+                if others:  # a null or another test beside a long list
+                    rest[column] = P.any_of([P.in_results(listed), *others])
+                else:
+                    rows = joins.in_keys(rows, column, listed)
             else:
                 rest[column] = value
         condition = rest

@@ -5,7 +5,7 @@ A join with the changes is one shuffle on the key of each side; Spark broadcasts
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
 from typing import Any
 
@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from ..plans import predicates as P
 from ..schema import BulkNeedsSchema, TableSpec
 from ..storage import settled
+from .components import components
+from . import joins
 from .table import filtered
 
 
@@ -88,8 +90,7 @@ def _first_of_key(rows: DataFrame, key: Sequence[str], position: str) -> DataFra
 def insert_or_ignore(table: DataFrame, records: DataFrame, keys: Sequence[Sequence[str]], position: str) -> Change:
     """Appends the records that clash with no unique key of the table or of an earlier record that was appended.
 
-    One key: the first record of each key, less those in the table. Several: records that clash only by one key
-    are settled the same way; those linked by several keys are settled in order, group by group of linked records.
+    One key: the first record of each key, less those in the table. Several: see _settled, which runs jobs.
     """
     free = records
     for key in keys:
@@ -103,38 +104,69 @@ def insert_or_ignore(table: DataFrame, records: DataFrame, keys: Sequence[Sequen
     return Change(table.unionByName(new), new)
 
 
+#: Records that are the first of all their keys are settled together in so many rounds; the rest is then settled in order.
+ROUNDS = 3
+
+
 def _settled(rows: DataFrame, keys: Sequence[Sequence[str]], position: str) -> DataFrame:
-    """Linked records get a common label by repeated minima over their keys; a group is then gone through in order."""
-    label = "_label"
-    labelled = rows.withColumn(label, F.col(position).cast("long"))
-    for _ in range(64):
-        after = labelled
-        for key in keys:
-            null = F.greatest(*[F.col(f"`{k}`").isNull() for k in key], F.lit(False))
-            low = F.min(label).over(Window.partitionBy(*_q(key)))
-            after = after.withColumn(label, F.when(null, F.col(label)).otherwise(low))
-        after = settled(after)
-        if after.agg(F.sum(label)).first() == labelled.agg(F.sum(label)).first():
-            labelled = after
+    """The records that are appended, whatever the order and length of chains of linked records.
+
+    A record that is the first open one of each of its keys is in, and those that share a key with it are out. What a few such rounds leave open is dealt by
+    component of linked records and gone through in order; a task keeps the keys of one component's appended records. position is unlike in all records.
+    """
+    at = F.col(f"`{position}`").cast("long").alias("_at")
+    columns = sorted({c for key in keys for c in key})
+    open_ = settled(rows.select(at, *_q(columns)))
+    heads = [f"_head{i}" for i in range(len(keys))]
+    kept = open_.select("_at").limit(0)
+    for _ in range(ROUNDS):
+        if open_.isEmpty():
             break
-        labelled = after
-    columns = rows.columns
-
-    def settle(group: pd.DataFrame) -> pd.DataFrame:
-        taken: list[set] = [set() for _ in keys]
-        keep = []
-        for row in group.sort_values(position)[columns].itertuples(index=False):
-            values = row._asdict() if hasattr(row, "_asdict") else dict(zip(columns, row, strict=True))
-            own = [tuple(values[k] for k in key) for key in keys]
-            clash = any(not any(pd.isna(v) for v in t) and t in seen for t, seen in zip(own, taken, strict=True))
-            if not clash:
-                for t, seen in zip(own, taken, strict=True):
-                    seen.add(t)
-            keep.append((values[position], not clash))
-        kept = {p for p, ok in keep if ok}
-        return group[group[position].isin(kept)][columns]
-
-    return labelled.groupBy(label).applyInPandas(settle, rows.schema)
+        marked = settled(_with_heads(open_, keys, heads))
+        first = F.lit(True)
+        for head in heads:
+            first = first & F.coalesce(F.col(head) == F.col("_at"), F.lit(True))
+        rest = marked.where(~first)
+        for head in heads:
+            rest = rest.join(marked.where(first & F.col(head).isNotNull()).select(head), head, "left_anti")
+        kept = kept.unionByName(marked.where(first).select("_at"))
+        open_ = settled(rest.select("_at", *_q(columns)))
+    if not open_.isEmpty():
+        marked = settled(_with_heads(open_, keys, heads))
+        links = None
+        for head in heads:
+            own = marked.where(F.col(head) != F.col("_at")).select(F.col(head).alias("a"), F.col("_at").alias("b"))
+            links = own if links is None else links.unionByName(own)
+        label = F.coalesce("component", "_at").alias("_label")
+        linked = marked.join(components(links), F.col("node") == F.col("_at"), "left").select(label, "_at", *heads)
+        ordered = linked.repartition("_label").sortWithinPartitions("_label", "_at")
+        kept = kept.unionByName(settled(ordered.mapInPandas(lambda it: _in_order(it, heads), "_at long")))
+    return rows.join(kept, F.col(f"`{position}`").cast("long") == F.col("_at"), "left_semi")
+
+
+def _with_heads(rows: DataFrame, keys: Sequence[Sequence[str]], heads: Sequence[str]) -> DataFrame:
+    """rows with the first position of each key, null where a part of the key is null."""
+    for key, head in zip(keys, heads, strict=True):
+        rows = rows.join(rows.groupBy(*_q(key)).agg(F.min("_at").alias(head)), list(key), "left")
+    return rows
+
+
+def _in_order(batches: Iterator[pd.DataFrame], heads: Sequence[str]) -> Iterator[pd.DataFrame]:
+    """Positions of the records that share no key with an earlier one that is kept. A key is told by its first position."""
+    label, taken = None, [set() for _ in heads]
+    for batch in batches:
+        out = []
+        own = [batch[h].astype("Int64").array for h in heads]
+        for i, (one, at) in enumerate(zip(batch["_label"].tolist(), batch["_at"].tolist(), strict=True)):
+            if one != label:
+                label, taken = one, [set() for _ in heads]
+            values = [column[i] for column in own]
+            if not any(v is not pd.NA and v in seen for v, seen in zip(values, taken, strict=True)):
+                out.append(at)
+                for v, seen in zip(values, taken, strict=True):
+                    if v is not pd.NA:
+                        seen.add(v)
+        yield pd.DataFrame({"_at": pd.array(out, dtype="int64")})
 
 
 def _once(batch: DataFrame, key: Sequence[str], order: Sequence[Column] | None) -> DataFrame:
@@ -173,12 +205,26 @@ def bulk_upsert(table: DataFrame, records: DataFrame, columns: Sequence[str], ke
     return upsert(table, rows, key, update, (), tie_break)
 
 
+def _flagged(table: DataFrame, condition: P.Condition) -> DataFrame:
+    """table with a column _hit: whether the condition is true. A sub-query is a left join on its distinct keys."""
+    names: list[str] = []
+    wide = table
+
+    def members(column: Column, test: P.Test) -> Column:
+        nonlocal wide
+        names.append(f"_member{len(names)}")
+        wide = joins.member_flag(wide, column, test.value, names[-1])
+        return F.col(names[-1])
+
+    found = P.known(condition, members=members)
+    hit = F.lit(found) if isinstance(found, bool) else F.coalesce(found, F.lit(False))
+    return wide.withColumn("_hit", hit).drop(*names)
+
+
 def update(table: DataFrame, condition: P.Condition, values: Mapping[str, Any]) -> Change:
     """Sets constants (or Columns) in the rows for which the condition is true."""
-    found = P.known(condition)
-    hit = F.lit(found) if isinstance(found, bool) else F.coalesce(found, F.lit(False))
     kinds = {f.name: f.dataType for f in table.schema.fields}
-    flagged = table.withColumn("_hit", hit)
+    flagged = _flagged(table, condition)
     out = flagged.select(*[F.when(F.col("_hit"), (values[c] if isinstance(values[c], Column) else F.lit(values[c])).cast(kinds[c])).otherwise(F.col(f"`{c}`")).alias(c) if c in values else F.col(f"`{c}`") for c in table.columns], "_hit")
     return Change(out.drop("_hit"), out.where("_hit").drop("_hit"))
 
@@ -200,9 +246,8 @@ def bulk_update(table: DataFrame, updates: DataFrame, where: Mapping[str, str],
 
 def delete(table: DataFrame, condition: P.Condition) -> Change:
     """Drops the rows for which the condition is true; an empty condition drops all."""
-    found = P.known(condition)
-    hit = F.lit(found) if isinstance(found, bool) else F.coalesce(found, F.lit(False))
-    return Change(table.where(~hit), table.where(hit))
+    flagged = _flagged(table, condition)
+    return Change(flagged.where("NOT _hit").drop("_hit"), flagged.where("_hit").drop("_hit"))
 
 
 def delete_where_in(table: DataFrame, condition: P.Condition, key: Sequence[str]) -> Change:

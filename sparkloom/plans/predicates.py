@@ -123,11 +123,11 @@ def normal(test: Test) -> Test:
 class Subject:
     """What a test is about: a column, its text in lower case, or the JSON value at a path of it."""
 
-    def __init__(self, column: Column, path: tuple[str, ...] | None = None, lower: bool = False):
-        self.column, self.path, self.lower = column, path, lower
+    def __init__(self, column: Column, path: tuple[str, ...] | None = None, lower: bool = False, parsed: Column | None = None):
+        self.column, self.path, self.lower, self.parsed = column, path, lower, parsed
 
     def variant(self) -> Column:
-        found = F.try_parse_json(self.column)
+        found = F.try_parse_json(self.column) if self.parsed is None else self.parsed
         for step in self.path or ():
             quoted = step.replace("\\", "\\\\").replace("'", "\\'")
             by_name = F.try_variant_get(found, f"$['{quoted}']", "variant")
@@ -188,9 +188,9 @@ def _test(test: Test, on: Subject, fold: bool, members) -> Known:
     if test.kind in ("less", "greater"):
         return on.compare(test.kind, test.value)
     if test.kind == "folded":
-        return _test(test.parts[0], Subject(on.column, on.path, True), fold, members)
+        return _test(test.parts[0], Subject(on.column, on.path, True, on.parsed), fold, members)
     if test.kind == "path":
-        return _test(test.parts[0], Subject(on.column, (on.path or ()) + test.value, on.lower), fold, members)
+        return _test(test.parts[0], Subject(on.column, (on.path or ()) + test.value, on.lower, on.parsed), fold, members)
     if test.kind == "in":
         if members is None:
             raise ValueError("a sub-query needs Table.find, which joins it")
@@ -207,6 +207,19 @@ def _test(test: Test, on: Subject, fold: bool, members) -> Known:
     return _join(test.kind, [_test(p, on, fold, members) for p in parts], fold)
 
 
+def _kinds(test: Test) -> set[str]:
+    return {test.kind}.union(*map(_kinds, test.parts))
+
+
+def _of_column(test: Test, column: Column, fold: bool, members) -> Known:
+    """The test on a column. Tests of JSON paths are made on one parsed value: it is the element of an array, so that it is parsed once for each row."""
+    kinds = _kinds(test)
+    found = _test(test, Subject(column), fold, members)
+    if "path" in kinds and "in" not in kinds and not isinstance(found, bool):
+        return F.exists(F.array(F.try_parse_json(column)), lambda x: _test(test, Subject(column, parsed=x), fold, members))
+    return found
+
+
 def known(condition: Condition, alias: str | None = None, fold: bool = True, members=None) -> Known:
     """True, False or a Column."""
     if isinstance(condition, Column):
@@ -217,7 +230,7 @@ def known(condition: Condition, alias: str | None = None, fold: bool = True, mem
     for name, value in condition.items():
         column = F.col(f"{alias}.`{name}`" if alias else f"`{name}`")
         test = as_test(value)
-        parts.append(_test(normal(test) if fold else test, Subject(column), fold, members))
+        parts.append(_of_column(normal(test) if fold else test, column, fold, members))
     return _join("all", parts, True)
 
 

@@ -200,6 +200,12 @@ def j2_not_in(spark, sf_dir):
     return t("customer").find({"c_custkey": P.negate(t("orders").key("o_custkey", {"o_totalprice": P.greater_than(50000)}))}).select("c_custkey").all()
 
 
+@registered("SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_totalprice > 400000)")
+def j2_not_in_rows_left(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    return t("customer").find({"c_custkey": P.negate(t("orders").key("o_custkey", {"o_totalprice": P.greater_than(400000)}))}).select("c_custkey").all()
+
+
 @registered(f"SELECT n_nationkey FROM nation WHERE n_nationkey NOT IN (SELECT c_nationkey FROM {_CUSTOMER_N})")
 def j2_not_in_with_nulls(spark, sf_dir):
     return joins.not_in_keys(read(spark, sf_dir, "nation"), "n_nationkey", _customers(spark, sf_dir).rows.select("c_nationkey")).select("n_nationkey")
@@ -322,10 +328,14 @@ _LOG = """(SELECT event_id AS seq, ts, 'cache' || (user_id % 3) AS name, CAST(us
   CASE WHEN event_type = 'signup' THEN 'set' WHEN event_type = 'purchase' AND event_id % 5 = 0 THEN 'delete' WHEN event_type = 'error' AND event_id % 40 = 0 THEN 'clear' ELSE 'get' END AS op FROM events)"""
 
 
-def _log(spark, sf_dir):
+def _as_log(rows: DataFrame) -> DataFrame:
     kind = F.col("event_type")
     op = F.when(kind == "signup", "set").when((kind == "purchase") & (F.col("event_id") % 5 == 0), "delete").when((kind == "error") & (F.col("event_id") % 40 == 0), "clear").otherwise("get")
-    return read(spark, sf_dir, "events").select(F.col("event_id").alias("seq"), "ts", F.concat(F.lit("cache"), F.col("user_id") % 3).alias("name"), F.col("user_id").cast("string").alias("key"), op.alias("op"))
+    return rows.select(F.col("event_id").alias("seq"), "ts", F.concat(F.lit("cache"), F.col("user_id") % 3).alias("name"), F.col("user_id").cast("string").alias("key"), op.alias("op"))
+
+
+def _log(spark, sf_dir):
+    return _as_log(read(spark, sf_dir, "events"))
 
 
 _READS = f"""(SELECT g.seq, g.name, g.key, coalesce((SELECT max_by(CASE WHEN e.op = 'set' AND epoch_ms(g.ts) < epoch_ms(e.ts) + 172800000 THEN 1 ELSE 0 END, e.seq)
@@ -371,6 +381,14 @@ def o6_all_pages(spark, sf_dir):
     return tables(spark, sf_dir)("orders").find().order_by_asc("o_orderdate", "o_orderkey").pages(100).select("o_orderkey", "page")
 
 
+@registered("SELECT c_custkey, c_name, c_nationkey FROM customer WHERE c_name = (SELECT min(c_name) FROM customer)")
+def o5_one(spark, sf_dir):
+    c = tables(spark, sf_dir)("customer")
+    name = c.find().order_by_asc("c_name", "c_custkey").select("c_name").limit(1).one()["c_name"]
+    row = c.find({"c_name": name}).select("c_custkey", "c_name", "c_nationkey").one_required()
+    return spark.createDataFrame([row], c.rows.select("c_custkey", "c_name", "c_nationkey").schema)
+
+
 # --- writes ------------------------------------------------------------------------------------------------------------
 
 
@@ -406,6 +424,25 @@ def w3_insert_or_ignore(spark, sf_dir):
     return writes.insert_or_ignore(c, new, [["c_custkey"]], "pos").table
 
 
+_TWO_KEYS = "(SELECT c_custkey AS pos, c_custkey + 1000000 AS c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, CAST(floor(c_acctbal / 100) AS BIGINT) AS cents FROM customer WHERE c_custkey % 4 <> 0)"
+
+
+@registered(
+    f"""WITH RECURSIVE old AS (SELECT list(DISTINCT c_nationkey || '|' || CAST(floor(c_acctbal / 100) AS BIGINT)) AS a, list(DISTINCT c_mktsegment || '|' || CAST(floor(c_acctbal / 100) AS BIGINT)) AS b FROM customer WHERE c_custkey % 16 = 0),
+    new AS (SELECT *, row_number() OVER (ORDER BY pos) AS i, c_nationkey || '|' || cents AS a, c_mktsegment || '|' || cents AS b FROM {_TWO_KEYS}),
+    step(i, a, b, kept) AS (SELECT CAST(0 AS BIGINT), a, b, CAST([] AS BIGINT[]) FROM old UNION ALL
+      SELECT n.i, CASE WHEN ok THEN list_append(sa, n.a) ELSE sa END, CASE WHEN ok THEN list_append(sb, n.b) ELSE sb END, CASE WHEN ok THEN list_append(kept, n.pos) ELSE kept END
+      FROM (SELECT n.i, n.a, n.b, n.pos, s.a AS sa, s.b AS sb, s.kept, NOT list_contains(s.a, n.a) AND NOT list_contains(s.b, n.b) AS ok FROM step s JOIN new n ON n.i = s.i + 1) n),
+    last AS (SELECT kept FROM step ORDER BY i DESC LIMIT 1)
+    SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, CAST(floor(c_acctbal / 100) AS BIGINT) AS cents FROM customer WHERE c_custkey % 16 = 0 UNION ALL
+    SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, cents FROM {_TWO_KEYS} WHERE list_contains((SELECT kept FROM last), pos)"""
+)
+def w3_insert_or_ignore_two_keys(spark, sf_dir):
+    c = read(spark, sf_dir, "customer").withColumn("cents", F.floor(F.col("c_acctbal") / 100))
+    new = c.where("c_custkey % 4 <> 0").withColumn("pos", F.col("c_custkey")).withColumn("c_custkey", F.col("c_custkey") + 1000000)
+    return writes.insert_or_ignore(c.where("c_custkey % 16 = 0"), new, [["c_nationkey", "cents"], ["c_mktsegment", "cents"]], "pos").table
+
+
 _UPSERTS = "(SELECT c_custkey + CASE WHEN c_custkey % 4 = 0 THEN 1000000 ELSE 0 END AS c_custkey, c_name || '!' AS c_name, 99 AS c_nationkey, c_acctbal + 1 AS c_acctbal, c_mktsegment FROM customer WHERE c_custkey % 2 = 0)"
 
 
@@ -460,10 +497,12 @@ def w9_bulk_delete(spark, sf_dir):
     return writes.bulk_delete(rows, keys, ["l_orderkey", "l_linenumber"]).table
 
 
-@registered()
+@registered("SELECT count(*) AS n, count(*) AS different, CAST(0 AS BIGINT) AS clashes, true AS in_range FROM orders")
 def w10_draw_ids(spark, sf_dir):
-    o = read(spark, sf_dir, "orders").select("o_orderkey")
-    return writes.draw_ids(o, ["o_orderkey"], read(spark, sf_dir, "customer").select("c_custkey"), bits=40)
+    o, taken = read(spark, sf_dir, "orders").select("o_orderkey"), read(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"))
+    drawn = writes.draw_ids(o, ["o_orderkey"], taken, bits=40).join(taken.withColumn("taken", F.lit(1)), "id", "left")
+    in_range = F.min((F.col("id") >= 0) & (F.col("id") < 1 << 40)).alias("in_range")
+    return drawn.agg(F.count("*").alias("n"), F.count_distinct("id").alias("different"), F.count("taken").alias("clashes"), in_range)
 
 
 # --- conversion --------------------------------------------------------------------------------------------------------
@@ -563,9 +602,16 @@ def u2_load_in_batches(spark, sf_dir):
 # --- events ------------------------------------------------------------------------------------------------------------
 
 
-@registered()
+@registered(
+    """WITH RECURSIVE r AS (SELECT event_id, user_id, ts, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS i FROM events),
+    lists AS (SELECT user_id, list(epoch_us(ts) ORDER BY i) AS t FROM r GROUP BY user_id),
+    begins(user_id, i, batch) AS (SELECT user_id, CAST(1 AS BIGINT), CAST(0 AS BIGINT) FROM lists UNION ALL
+      SELECT user_id, j, batch + 1 FROM (SELECT b.user_id, b.batch, len(l.t) AS n, b.i + CASE WHEN l.t[b.i + 1] < l.t[b.i] + 21600000000 THEN CASE WHEN l.t[b.i + 2] < l.t[b.i] + 21600000000 THEN CASE WHEN l.t[b.i + 3] < l.t[b.i] + 21600000000
+        THEN CASE WHEN l.t[b.i + 4] < l.t[b.i] + 21600000000 THEN 5 ELSE 4 END ELSE 3 END ELSE 2 END ELSE 1 END AS j FROM begins b JOIN lists l USING (user_id)) WHERE j <= n)
+    SELECT r.event_id, r.user_id, r.ts, max(b.batch) AS batch FROM r JOIN begins b ON b.user_id IS NOT DISTINCT FROM r.user_id AND b.i <= r.i GROUP BY ALL"""
+)
 def t1_timed_batches(spark, sf_dir):
-    return jobs.timed_batches(read(spark, sf_dir, "events").select("event_id", "user_id", "ts"), "user_id", "ts", 5, 6 * 3_600_000)
+    return jobs.timed_batches(read(spark, sf_dir, "events").select("event_id", "user_id", "ts"), "user_id", "ts", 5, 6 * 3_600_000, ["event_id"])
 
 
 def _drained(stream: DataFrame) -> DataFrame:
@@ -595,17 +641,9 @@ def t3_stream_first_in_window(spark, sf_dir):
     return _drained(jobs.first_in_window(rows, ["user_id", "event_type"], "ts", "365 days").select("user_id", "event_type"))
 
 
-_READS_BY_KEY = """(SELECT seq, name, key, coalesce(last_at IS NOT NULL AND last_op = 'set' AND epoch_ms(ts) - epoch_ms(last_at) < 172800000, false) AS hit FROM (
-  SELECT *, last_value(CASE WHEN op <> 'get' THEN op END IGNORE NULLS) OVER w AS last_op, last_value(CASE WHEN op <> 'get' THEN ts END IGNORE NULLS) OVER w AS last_at
-  FROM (SELECT event_id AS seq, ts, 'cache' || (user_id % 3) AS name, CAST(user_id AS VARCHAR) AS key, CASE WHEN event_type = 'signup' THEN 'set' WHEN event_type = 'purchase' AND event_id % 5 = 0 THEN 'delete' ELSE 'get' END AS op FROM events)
-  WINDOW w AS (PARTITION BY name, key ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) WHERE op = 'get')"""
-
-
-@registered(f"SELECT seq, name, key, hit FROM {_READS_BY_KEY}")
+@registered(f"SELECT seq, name, key, hit FROM {_READS}")
 def t4_stream_ttl_reads(spark, sf_dir):
-    kind = F.col("event_type")
-    op = F.when(kind == "signup", "set").when((kind == "purchase") & (F.col("event_id") % 5 == 0), "delete").otherwise("get")
-    log = _stream(spark, sf_dir, "events").select(F.col("event_id").alias("seq"), F.col("ts").cast("timestamp").alias("ts"), F.concat(F.lit("cache"), F.col("user_id") % 3).alias("name"), F.col("user_id").cast("string").alias("key"), op.alias("op"))
+    log = _as_log(_stream(spark, sf_dir, "events")).withColumn("ts", F.col("ts").cast("timestamp"))
     name = "spark.sql.streaming.stateStore.providerClass"
     before = spark.conf.get(name)
     spark.conf.set(name, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
@@ -615,21 +653,24 @@ def t4_stream_ttl_reads(spark, sf_dir):
         spark.conf.set(name, before)
 
 
-_EVENTS = """(SELECT event_id AS seq, 'n' || (event_id % 4) AS name, CASE WHEN event_type = 'error' THEN 'delete' WHEN event_type = 'view' THEN 'delete_prefix' WHEN event_type = 'click' AND event_id % 50 = 0 THEN 'clear' END AS op,
-  'u:' || user_id AS key, 'u:' || substr(CAST(user_id AS VARCHAR), 1, CAST(1 + event_id % 2 AS INTEGER)) AS prefix FROM events)"""
+_EVENTS = """(SELECT event_id AS seq, 'n' || (event_id % 4) AS name, CASE WHEN event_type = 'error' THEN 'delete' WHEN event_type = 'view' THEN 'delete_prefix' WHEN event_type = 'click' AND event_id % 50 = 0 THEN 'clear' WHEN event_type = 'click' THEN 'delete_multiple' END AS op,
+  'u:' || user_id AS key, ['u:' || (user_id + 1), 'u:' || (user_id + 2)] AS keys, CASE WHEN event_id % 997 = 0 THEN '' ELSE 'u:' || substr(CAST(user_id AS VARCHAR), 1, CAST(1 + event_id % 2 AS INTEGER)) END AS prefix FROM events)"""
 
 
 @registered(
     f"""SELECT s.name, s.key, s.seq FROM (SELECT 'n' || (event_id % 4) AS name, 'u:' || user_id AS key, event_id AS seq FROM events WHERE event_type = 'signup') s WHERE NOT EXISTS (
-    SELECT 1 FROM {_EVENTS} e WHERE e.name = s.name AND e.seq >= s.seq AND (e.op = 'clear' OR (e.op = 'delete' AND e.key = s.key) OR (e.op = 'delete_prefix' AND starts_with(s.key, e.prefix) AND e.seq % 100 = 1)))"""
+    SELECT 1 FROM {_EVENTS} e WHERE e.name = s.name AND e.seq >= s.seq AND (e.op = 'clear' OR (e.op = 'delete' AND e.key = s.key) OR (e.op = 'delete_multiple' AND list_contains(e.keys, s.key))
+    OR (e.op = 'delete_prefix' AND starts_with(s.key, e.prefix) AND (e.seq % 100 = 1 OR e.prefix = ''))))"""
 )
 def t5_replay_invalidation(spark, sf_dir):
     e = read(spark, sf_dir, "events")
     name, key = F.concat(F.lit("n"), F.col("event_id") % 4).alias("name"), F.concat(F.lit("u:"), F.col("user_id")).alias("key")
     kind = F.col("event_type")
-    op = F.when(kind == "error", "delete").when((kind == "view") & (F.col("event_id") % 100 == 1), "delete_prefix").when((kind == "click") & (F.col("event_id") % 50 == 0), "clear")
-    prefix = F.concat(F.lit("u:"), F.substr(F.col("user_id").cast("string"), F.lit(1), (1 + F.col("event_id") % 2).cast("int"))).alias("prefix")
-    log = e.select(F.col("event_id").alias("seq"), name, op.alias("op"), key, F.lit(None).cast("array<string>").alias("keys"), prefix)
+    op = F.when(kind == "error", "delete").when((kind == "view") & ((F.col("event_id") % 100 == 1) | (F.col("event_id") % 997 == 0)), "delete_prefix").when((kind == "click") & (F.col("event_id") % 50 == 0), "clear").when(kind == "click", "delete_multiple")
+    start = F.concat(F.lit("u:"), F.substr(F.col("user_id").cast("string"), F.lit(1), (1 + F.col("event_id") % 2).cast("int")))
+    prefix = F.when(F.col("event_id") % 997 == 0, "").otherwise(start).alias("prefix")
+    keys = F.array(*[F.concat(F.lit("u:"), F.col("user_id") + k) for k in (1, 2)]).alias("keys")
+    log = e.select(F.col("event_id").alias("seq"), name, op.alias("op"), key, keys, prefix)
     entries = e.where("event_type = 'signup'").select(name, key, F.col("event_id").alias("seq"))
     return events.replay_invalidation(entries, log)
 
@@ -703,6 +744,51 @@ def s9_without_expired(spark, sf_dir):
     return warehouse.without_expired(rows, 10 * 86_400_000, datetime(2024, 1, 25, 12)).select("event_id")
 
 
+def _folder(spark: SparkSession, name: str) -> str:
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@registered("SELECT o_orderkey, o_custkey, true AS fits FROM orders")
+def s4_pieces(spark, sf_dir):
+    folder = _folder(spark, "pieces")
+    io.export_in_pieces(read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), folder, 1000)
+    rows = spark.read.parquet(folder).withColumn("file", F.input_file_name())
+    fits = rows.groupBy("file").agg((F.count("*") <= 1000).alias("fits"))
+    return rows.join(fits, "file").select("o_orderkey", "o_custkey", "fits")
+
+
+@registered("SELECT o_orderkey AS id, [o_orderstatus, o_orderpriority] AS tags, o_custkey AS customer, date_trunc('month', o_orderdate) AS part FROM orders")
+def s5_created_table(spark, sf_dir):
+    fields = [{"name": "id", "type": "INT64", "mode": "REQUIRED"}, {"name": "at", "type": "DATETIME"}, {"name": "tags", "type": "STRING", "mode": "REPEATED"}, {"name": "who", "type": "RECORD", "fields": [{"name": "customer", "type": "INT64"}]}]
+    table = warehouse.WarehouseTable(spark, _folder(spark, "table"), warehouse.struct_of(fields), warehouse.TimePartition("MONTH", "at")).create()
+    o = read(spark, sf_dir, "orders")
+    table.append(o.select(F.col("o_orderkey").alias("id"), F.col("o_orderdate").cast("timestamp_ntz").alias("at"), F.array("o_orderstatus", "o_orderpriority").alias("tags"), F.struct(F.col("o_custkey").alias("customer")).alias("who")))
+    return table.read().select("id", "tags", "who.customer", F.col("part").cast("timestamp_ntz").alias("part"))
+
+
+@registered("SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_orderkey >= 2000 AND l_orderkey < 3000")
+def s10_required_filter(spark, sf_dir):
+    rows = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
+    table = warehouse.WarehouseTable(spark, _folder(spark, "table"), rows.schema, warehouse.RangePartition("l_orderkey", 0, 1000, 10_000_000, required=True)).create()
+    table.append(rows)
+    return table.read(F.col("part") == 2000, ["l_orderkey", "l_linenumber"])
+
+
+@registered("SELECT c_custkey, c_name, c_acctbal FROM customer WHERE c_nationkey = 7")
+def s13_external(spark, sf_dir):
+    rows, folder = read(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal"), _folder(spark, "files")
+    rows.write.csv(folder, header=True)
+    return warehouse.external(spark, folder, "csv", rows.schema, header=True).where("c_nationkey = 7").select("c_custkey", "c_name", "c_acctbal")
+
+
+@registered("SELECT n_nationkey, n_name, 'a' AS suffix FROM nation WHERE n_nationkey % 2 = 0 UNION ALL SELECT n_nationkey, n_name, 'b' FROM nation WHERE n_nationkey % 2 = 1")
+def s15_append_by_suffix(spark, sf_dir):
+    rows = read(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    base = warehouse.WarehouseTable(spark, _folder(spark, "table"), rows.schema)
+    parts = [base.append_by_suffix(rows.where(F.col("n_nationkey") % 2 == k), f"_{name}") for k, name in enumerate("ab")]
+    return spark.read.parquet(parts[0]).withColumn("suffix", F.lit("a")).unionByName(spark.read.parquet(parts[1]).withColumn("suffix", F.lit("b")))
+
+
 @registered("SELECT c_nationkey, count(*) AS n FROM customer WHERE c_acctbal > 0 GROUP BY c_nationkey")
 def s11_view(spark, sf_dir):
     warehouse.view(tables(spark, sf_dir)("customer").find({"c_acctbal": P.greater_than(0)}).all(), "positive_customers")

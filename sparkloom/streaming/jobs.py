@@ -2,42 +2,63 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from ..operators.lookup import chunks
+from ..storage import settled
 
 
-def timed_batches(rows: DataFrame, group: str, time: str, size: int = 100, delay_ms: int = 100) -> DataFrame:
+def timed_batches(rows: DataFrame, group: str, time: str, size: int = 100, delay_ms: int = 100, ties: Sequence[str] = ()) -> DataFrame:
     """Batch form: each row with the number of its batch in its group. A batch ends when it holds `size` rows, or with the
-    first row that comes delay_ms or more after the batch began.
+    first row that comes delay_ms or more after the batch began. ties: columns that order rows of one time.
 
-    Where a batch begins depends on the one before, so a group is gone through in order, as a stream of sorted rows: a
-    task keeps one group's running state and no group is gathered.
+    A gap of delay_ms or more always ends a batch, so a group is cut there into segments, which are dealt to all tasks. Where a batch begins inside a
+    segment depends on the one before, so a segment is gone through in order, as a stream of sorted rows of which a task keeps one running state.
     """
-    dealt = rows.repartition(group).sortWithinPartitions(group, time)
-    schema = T.StructType([*dealt.schema.fields, T.StructField("batch", T.LongType())])
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        now: tuple = (None, None, 0, -1)  # group, begin, rows, batch
-        for frame in batches:
-            numbers = []
-            for key, at in zip(frame[group], frame[time], strict=True):
-                name, begin, n, batch = now
-                if name is None or key != name:
-                    begin, n, batch = at, 0, 0
-                elif n == size or (at - begin).total_seconds() * 1000 >= delay_ms:
-                    begin, n, batch = at, 0, batch + 1
-                now = (key, begin, n + 1, batch)
-                numbers.append(batch)
-            yield frame.assign(batch=numbers)
-
-    return dealt.mapInPandas(run, schema)
+    order = [F.col(f"`{c}`") for c in (time, *ties)]
+    micros = F.unix_micros(F.col(f"`{time}`").cast("timestamp"))
+    mine = Window.partitionBy(f"`{group}`").orderBy(*order)
+    gap = F.coalesce(micros - F.lag(micros).over(mine) >= delay_ms * 1000, F.lit(True))
+    cut = rows.withColumn("_micros", micros).withColumn("_gap", gap.cast("long")).withColumn("_segment", F.sum("_gap").over(mine.rowsBetween(Window.unboundedPreceding, 0))).drop("_gap")
+    dealt = cut.repartition(group, "_segment").sortWithinPartitions(group, "_segment", *order)
+    schema = T.StructType([*dealt.schema.fields, T.StructField("_own", T.LongType())])
+    placed = settled(dealt.mapInPandas(lambda it: _batches(it, group, size, delay_ms * 1000), schema))
+    held = placed.groupBy(group, "_segment").agg(F.max("_own").alias("_last"))
+    before = F.coalesce(F.sum(F.col("_last") + 1).over(Window.partitionBy(f"`{group}`").orderBy("_segment").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    begins = held.select(F.col(f"`{group}`").alias("_group"), F.col("_segment").alias("_of"), before.alias("_before"))
+    joined = placed.join(begins, placed[group].eqNullSafe(F.col("_group")) & (F.col("_segment") == F.col("_of")))
+    return joined.select(*[F.col(f"`{c}`") for c in rows.columns], (F.col("_before") + F.col("_own")).alias("batch"))
+
+
+def _batches(frames: Iterator[pd.DataFrame], group: str, size: int, delay: int) -> Iterator[pd.DataFrame]:
+    """Numbers of batches inside each segment; rows come sorted. The last batch may go on in the next frame."""
+    now: tuple = (None, None)
+    begin, n, batch = 0, 0, -1
+    for frame in frames:
+        names, segments, times = frame[group], frame["_segment"].to_numpy(), frame["_micros"].to_numpy()
+        codes = pd.factorize(names, use_na_sentinel=False)[0]
+        own = np.zeros(len(frame), dtype=np.int64)
+        starts = np.flatnonzero(np.concatenate(([True], (codes[1:] != codes[:-1]) | (segments[1:] != segments[:-1])))) if len(frame) else []
+        for a, b in zip(starts, [*starts[1:], len(frame)], strict=True):
+            name = names.iat[a]
+            key = (None if pd.isna(name) else name, int(segments[a]))
+            if key != now:
+                now, begin, n, batch = key, int(times[a]), 0, 0
+            while a < b:
+                end = min(b, a + size - n, max(a + (n == 0), a + int(np.searchsorted(times[a:b], begin + delay))))
+                own[a:end] = batch
+                n += end - a
+                a = end
+                if a < b:
+                    begin, n, batch = int(times[a]), 0, batch + 1
+        yield frame.assign(_own=own)
 
 
 def stream_in_batches(stream: DataFrame, deliver: Callable[[DataFrame, int], None], order: str, size: int = 100, every: str = "100 milliseconds", checkpoint: str | None = None, once: bool = False) -> StreamingQuery:
@@ -63,43 +84,55 @@ def first_in_window(stream: DataFrame, keys: list[str], time: str, within: str)
 
 
 class TtlReads(StatefulProcessor):
-    """State of a (name, key): the time of the last set. A get neither sets nor renews it; delete and clear end it."""
+    """State of a (name, bucket of keys): the last set of each key of the bucket, and the last clear. A get neither sets nor renews; a
+    delete ends its key's set, and a clear those of all keys, as it comes once for each bucket."""
 
     def __init__(self, ttl_ms: int | None):
         self.ttl_ms = ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.last = handle.getValueState("last", "at timestamp")
+        self.sets = handle.getMapState("sets", "key string", "seq long, at timestamp")
+        self.cleared = handle.getValueState("cleared", "seq long")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        found = pd.concat(list(rows)).sort_values("seq")
-        last = self.last.get()[0] if self.last.exists() else None
+        cleared = self.cleared.get()[0] if self.cleared.exists() else -1
+        held: dict[str, tuple | None] = {}  # what this call has seen of keys; written back at its end
         out = []
-        for r in found.itertuples():
+        for r in pd.concat([frame[["name", "key", "seq", "ts", "op"]] for frame in rows]).sort_values("seq", kind="stable").itertuples():
+            if r.op == "clear":
+                cleared = max(cleared, r.seq)
+                continue
+            if r.key not in held:
+                held[r.key] = tuple(self.sets.getValue((r.key,))) if self.sets.containsKey((r.key,)) else None
             if r.op == "set":
-                last = r.ts
-            elif r.op in ("delete", "clear"):
-                last = None
+                held[r.key] = (r.seq, r.ts)
+            elif r.op == "delete":
+                held[r.key] = None
             else:
-                fresh = last is not None and (self.ttl_ms is None or (r.ts - last).total_seconds() * 1000 < self.ttl_ms)
-                out.append((*key, r.seq, fresh))
-        if last is None:
-            self.last.clear()
-        else:
-            self.last.update((last,))
+                last = held[r.key]
+                fresh = last is not None and last[0] > cleared and (self.ttl_ms is None or (r.ts - last[1]).total_seconds() * 1000 < self.ttl_ms)
+                out.append((r.name, r.key, r.seq, fresh))
         yield pd.DataFrame(out, columns=["name", "key", "seq", "hit"])
+        for one, last in held.items():
+            if last is not None and last[0] > cleared:
+                self.sets.updateValue((one,), last)
+            elif self.sets.containsKey((one,)):
+                self.sets.removeKey((one,))
+        if cleared >= 0:
+            self.cleared.update((cleared,))
 
     def close(self) -> None:
         pass
 
 
-def stream_ttl_reads(stream: DataFrame, ttl_ms: int | None, time: str = "ts", late: str = "10 minutes") -> DataFrame:
-    """Each get of a stream of events (seq, ts, name, key, op) with whether it hits. A clear must come once for each key
-    that it touches (for instance through a table of keys by name): state is kept by (name, key). State is kept in
-    RocksDB: set spark.sql.streaming.stateStore.providerClass accordingly."""
-    return (
-        stream.withWatermark(time, late)
-        .groupBy("name", "key")
-        .transformWithStateInPandas(TtlReads(ttl_ms), "name string, key string, seq long, hit boolean", "append", "none")
-    )
+def stream_ttl_reads(stream: DataFrame, ttl_ms: int | None, time: str = "ts", late: str = "10 minutes", buckets: int = 64) -> DataFrame:
+    """Each get of a stream of events (seq, ts, name, key, op) with whether it hits. A clear (its key does not count) ends all sets of its name.
+
+    The keys of a name are dealt to buckets; a clear goes to each of them, so buckets bound what it is multiplied by. Rows of a micro-batch are gone through
+    in order of seq; a call holds one bucket's rows of it, so bound micro-batches (maxFilesPerTrigger, maxBytesPerTrigger). State is kept in
+    RocksDB: set spark.sql.streaming.stateStore.providerClass accordingly.
+    """
+    own = F.array(F.pmod(F.xxhash64("key"), F.lit(buckets)).cast("int"))
+    every = F.sequence(F.lit(0), F.lit(buckets - 1))
+    dealt = stream.withWatermark(time, late).withColumn("bucket", F.explode(F.when(F.col("op") == "clear", every).otherwise(own)))
+    return dealt.groupBy("name", "bucket").transformWithStateInPandas(TtlReads(ttl_ms), "name string, key string, seq long, hit boolean", "append", "none")

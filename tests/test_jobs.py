@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 from datetime import datetime, timedelta
 
 import pandas as pd
@@ -11,6 +12,7 @@ from pyspark.sql import types as T
 
 from sparkloom.functions import convert as C
 from sparkloom.operators import checks, events, joins, lookup, writes
+from sparkloom.operators.table import filtered
 from sparkloom.plans import predicates as P
 from sparkloom.schema import BulkNeedsSchema, ColumnSpec, TableSpec, read_schema, spark_type
 from sparkloom.sources import io, warehouse
@@ -54,10 +56,70 @@ def test_insert_or_ignore_with_several_keys(spark, users):
     out = writes.insert_or_ignore(users, batch, [["id"], ["name"]], "pos")
     # 1 falls to 0 by id, so B is free for 2; 3 falls to 0 by name; 8 falls to 2 by id.
     assert rows(out.returning, "id", "name") == [(3, "A"), (4, "B"), (None, "C"), (None, "D")]
+    empty = writes.insert_or_ignore(users, batch.limit(0), [["id"], ["name"]], "pos")
+    assert empty.returning.count() == 0
     one = writes.insert_or_ignore(users, batch, [["id"]], "pos")
     assert rows(one.returning, "id", "name") == [(3, "A"), (4, "B"), (5, "A"), (6, "Forbes"), (None, "C"), (None, "D")]
 
 
+@pytest.mark.parametrize("order", ["sorted", "reversed", "shuffled"])
+def test_insert_or_ignore_along_chains(spark, order):
+    """Chains of 1000 records, each linked to the next by one of two keys, and null keys between."""
+    links = [(i, (i + 1) // 2, f"n{i // 2}") for i in range(1000)] + [(2000 + i, 9000 + i % 40 if i % 3 else None, f"m{i % 7}") for i in range(300)]
+    positions = list(range(len(links)))
+    if order == "reversed":
+        positions.reverse()
+    elif order == "shuffled":
+        random.Random(3).shuffle(positions)
+    batch = [(p, a, b) for p, (_, a, b) in zip(positions, links, strict=True)]
+    ids, names, expected = {100}, set(), set()
+    for p, a, b in sorted(batch):
+        if (a is None or a not in ids) and b not in names:
+            expected.add(p)
+            ids.add(a)
+            names.add(b)
+    table = spark.createDataFrame([(-1, 100, "old")], "pos int, id long, name string")
+    out = writes.insert_or_ignore(table, spark.createDataFrame(batch, "pos int, id long, name string").repartition(3), [["id"], ["name"]], "pos")
+    assert {r["pos"] for r in out.returning.collect()} == expected
+
+
+def test_writes_with_sub_queries(spark, users):
+    some = spark.createDataFrame([(1,), (None,)], "id long")
+    table = users.unionByName(spark.createDataFrame([(None, "x", None, None)], users.schema))
+    out = writes.update(table, P.either({"id": P.in_results(some)}, {"name": "x"}), {"bio": "new"})
+    assert rows(out.table, "name", "bio") == [("Ellie", None), ("Forbes", "new"), ("x", "new")] and out.table.columns == users.columns
+    assert rows(out.returning, "name") == [("Forbes",), ("x",)]
+    gone = writes.delete(table, {"id": P.in_results(some)})
+    assert rows(gone.table, "name") == [("Ellie",), ("x",)] and rows(gone.returning, "name") == [("Forbes",)]
+
+
+def test_jdbc_reads_in_parallel(spark, monkeypatch):
+    """No database is here: the options that reach Spark's reader."""
+    given = {}
+
+    class Reader:
+        def format(self, name):
+            given["format"] = name
+            return self
+
+        def options(self, **values):
+            given.update(values)
+            return self
+
+        def load(self):
+            return "rows"
+
+    monkeypatch.setattr(type(spark), "read", property(lambda self: Reader()))
+    assert io.jdbc(spark, "jdbc:x", "t", ("id", 0, 100, 8), user="u") == "rows"
+    assert given == {"format": "jdbc", "url": "jdbc:x", "dbtable": "t", "fetchsize": "10000", "user": "u", "partitionColumn": "id", "lowerBound": "0", "upperBound": "100", "numPartitions": "8"}
+
+
+def test_long_lists_beside_a_null(spark, users):
+    table = users.unionByName(spark.createDataFrame([(None, "x", None, None)], users.schema))
+    found = filtered(table, {"id": P.any_of([*range(2, 2000), None])})
+    assert rows(found, "name") == [("Ellie",), ("x",)]
+
+
 def test_upsert(spark):
     schema = "name string, created int, updated int"
     empty = spark.createDataFrame([], schema)
@@ -164,17 +226,22 @@ def test_cache_events(spark):
     assert rows(events.sizes(paths, ["k1"]), "k1", "size") == [(1, 2), (2, 1)]
 
 
-def test_timed_batches_against_a_loop(spark):
-    source = spark.read.parquet("/root/testdata/sf0.001/events.parquet").select("event_id", "user_id", "ts")
+@pytest.mark.parametrize(("size", "hours"), [(3, 40), (100, 1), (2, 0)])
+def test_timed_batches_against_a_loop(spark, size, hours):
+    source = spark.read.parquet("/root/testdata/sf0.001/events.parquet").select("event_id", "user_id", "ts").withColumn("user_id", F.when(F.col("user_id") % 7 != 0, F.col("user_id") % 9))
     expected, state = {}, {}
-    for r in source.orderBy("user_id", "ts").collect():
+    for r in source.orderBy("user_id", "ts", "event_id").collect():
         begin, n, batch = state.get(r["user_id"], (r["ts"], 0, 0))
-        if n == 3 or (r["ts"] - begin).total_seconds() >= 3600 * 40:
+        if n and (n == size or (r["ts"] - begin).total_seconds() >= 3600 * hours):
             begin, n, batch = r["ts"], 0, batch + 1
         state[r["user_id"]] = (begin, n + 1, batch)
         expected[r["event_id"]] = batch
-    out = jobs.timed_batches(source, "user_id", "ts", 3, 3600 * 40 * 1000)
-    assert {r["event_id"]: r["batch"] for r in out.collect()} == expected and max(expected.values()) > 2
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        out = {r["event_id"]: r["batch"] for r in jobs.timed_batches(source, "user_id", "ts", size, 3600 * hours * 1000, ["event_id"]).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert out == expected and max(expected.values()) > 2
 
 
 def test_warehouse(spark, tmp_path):
@@ -230,13 +297,13 @@ def test_checks(spark):
 def test_streams(spark, tmp_path):
     schema = "seq long, ts timestamp, name string, key string, op string"
     t0 = datetime(2024, 1, 1)
-    log = [(0, 0, "set"), (1, 5, "get"), (2, 5000, "get"), (3, 5001, "set"), (4, 5002, "delete"), (5, 5003, "get")]
+    log = [(0, 0, "set"), (1, 5, "get"), (2, 5000, "get"), (3, 5001, "set"), (4, 5002, "delete"), (5, 5003, "get"), (6, 5004, "set"), (7, 5005, "get"), (8, 5006, "clear"), (9, 5007, "get")]
     spark.createDataFrame([(s, t0 + timedelta(milliseconds=ms), "c", "k", op) for s, ms, op in log], schema).write.parquet(f"{tmp_path}/in")
     source = spark.readStream.schema(schema).parquet(f"{tmp_path}/in")
     seen: list[pd.DataFrame] = []
     q = jobs.stream_in_batches(source, lambda df, epoch: seen.append(df.toPandas()), "seq", 4, checkpoint=f"{tmp_path}/c1", once=True)
     q.awaitTermination(120)
-    assert sorted(zip(*[seen[0][c].tolist() for c in ("seq", "chunk")], strict=True)) == [(i, i // 4) for i in range(6)]
+    assert sorted(zip(*[seen[0][c].tolist() for c in ("seq", "chunk")], strict=True)) == [(i, i // 4) for i in range(10)]
 
     def drained(stream, name):
         s = stream.writeStream.format("memory").queryName(name).option("checkpointLocation", f"{tmp_path}/{name}").trigger(availableNow=True).start()
@@ -244,8 +311,8 @@ def test_streams(spark, tmp_path):
         return spark.table(name)
 
     names = spark.createDataFrame([("c", 1)], "name string, n int")
-    assert rows(drained(jobs.stream_lookup(source, names, "name").select("seq", "value.n"), "looked"), "n") == [(1,)] * 6
+    assert rows(drained(jobs.stream_lookup(source, names, "name").select("seq", "value.n"), "looked"), "n") == [(1,)] * 10
     assert drained(jobs.first_in_window(source, ["name", "key"], "ts", "1 hour"), "firsts").count() == 1
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     out = drained(jobs.stream_ttl_reads(source, 1000), "ttl")
-    assert rows(out, "seq", "hit") == [(1, True), (2, False), (5, False)]
+    assert rows(out, "seq", "hit") == [(1, True), (2, False), (5, False), (7, True), (9, False)]
