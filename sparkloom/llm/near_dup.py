@@ -36,8 +36,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .components import components
-from .store import written
+from ..operators.components import components
+from .store import dropped, written
 from .words import Words, fold, grouped, mix
 
 SHINGLE = 5
@@ -329,6 +329,7 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     dealt = dealt.select("doc_id", "row", "part", "major", "home", F.xxhash64("cluster", "block").alias("cell"), (F.col("home") != F.col("block")).alias("visits"))
     cells = texts.join(dealt.hint("merge"), "row").drop("row").repartition("cell").sortWithinPartitions("cell", "visits")
     links = written(cells.mapInPandas(lambda it: _cells(it, s), "a long, b long"), "links")
+    dropped(pairs, placed)
     found = written(components(links if star is None else links.unionByName(star)), "components")
     grouped_classes = classes.select("words", F.col("doc_id").alias("class")).join(found.withColumnRenamed("node", "class"), "class", "left")
     grouped_ = described.select("doc_id", "words").join(grouped_classes, "words", "left")

@@ -1,39 +1,13 @@
-"""Intermediate tables in the shared folder of the session, and the size of Arrow batches.
-
-A written table cuts lineage: a lost executor costs its running tasks, never a finished step.
-"""
+"""Intermediate tables in the shared folder of the session, and the size of Arrow batches."""
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Iterator
-from contextlib import contextmanager
-
 from pyspark.sql import DataFrame, SparkSession
 
-from ..storage import shared_dir
-
-
-def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """The same rows, read from a table in the shared folder. The job's shuffle files go when it ends, as nothing else reads them."""
-    path = fresh_path(df.sparkSession, name)
-    with _set(df.sparkSession, {_BATCH: _batch(df.sparkSession), "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}):
-        df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def dropped(*tables: DataFrame) -> None:
-    """Deletes written tables that no later job reads."""
-    for table in tables:
-        files = table.inputFiles()
-        if files:
-            folder = table.sparkSession._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
-            folder.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(folder, True)
+from .. import storage
+from ..storage import dropped, fresh_path
 
+__all__ = ["dropped", "fresh_path", "small_batches", "spread", "written"]
 
 #: Bytes of rows that a Python worker is sent at once. Spark's default of 64 MB costs a worker several times as much.
 BATCH_BYTES = 8 << 20
@@ -54,19 +28,9 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set(_BATCH, _batch(spark))
 
 
-@contextmanager
-def _set(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
-    before = {name: spark.conf.get(name, None) for name in values}
-    for name, value in values.items():
-        spark.conf.set(name, value)
-    try:
-        yield
-    finally:
-        for name, value in before.items():
-            if value is None:
-                spark.conf.unset(name)
-            else:
-                spark.conf.set(name, value)
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The same rows, read from a table in the shared folder that is written with small Arrow batches."""
+    return storage.written(df, name, {_BATCH: _batch(df.sparkSession)})
 
 
 def spread(table: DataFrame) -> DataFrame:
