@@ -1,16 +1,16 @@
 """Main text of web pages by tree scoring.
 
-A page becomes a tree; menus, page headers, footers, sidebars, notices, adverts, forms, comments, scripts and
-styles are cut out by element and by the words of class, id and role. Each block of text passes points for its
+A page becomes a tree; menus, page headers, footers, forms, scripts, styles and what is hidden are cut out by element, attribute and role. Each block of text passes points for its
 length and commas to its ancestors, less with each step up. A container's points are discounted by the share of its text
-that is in links. The article or main element around the best container is kept whole. Without one, the container grows to its parent as long as
+that is in links, and points of parts whose class or id is a side part's name (a whole name, like cookie-notice, not a word of a name, like share-enabled) count a tenth. The best container found
+so, side parts and reader comments that do not hold it are cut out. The article or main element around the best container is kept whole. Without one, the container grows to its parent as long as
 no other part there is mostly links. Beside it headings, parts with few links and parts that score like it are kept, whatever the length of the page.
 A form that holds an article, main or h1 element or most of the page's text is a plain wrapper.
 
 Scale: one page at a time inside its partition, no shuffle. The work is linear in the length of the page.
 
-Edge cases: null or empty html, and a page without text, give the empty text. Markup that is cut off, unclosed or
-wrongly nested is read as far as it goes. Repeated rows give a row each. Other columns are ignored.
+Edge cases: null or empty html, and a page without text, give the empty text. Markup that is cut off, unclosed, wrongly nested or
+no markup at all is read as far as it goes, and malformed declarations are comments. Repeated rows give a row each. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -38,19 +38,26 @@ DROPPED = set("head title script style noscript template iframe object embed svg
 CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 LIMITS = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr", "table"}, "th": {"tr", "table"}, "option": {"select"}}
 
-_BAD = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisement|adsense|sponsor(?:ed)?|promo(?:tion|ted)?|banner|cookies?|consent|gdpr|notice|notification|alert|popup|modal|overlay|newsletter|subscribe|signup|login"
-    r"|nav|navbar|navigation|menu|breadcrumbs?|pagination|pager|sidebar|side|aside|widget|footer|foot|masthead|topbar|site-?header|page-?header|toolbar|share|sharing|social|related|recommended|recommendations|trending|popular|outbrain|taboola"
-    r"|comments?|commentlist|comment-?section|discussion|disqus|respond|replies|reply|copyright|legal|disclaimer|skip|hidden|search)(?:$|[\s_-])",
-    re.I,
+#: Words of class and id names of side parts, of reader comments, and words that may stand beside them without changing what is named.
+SIDE = set(
+    "ad ads advert adverts advertisement adsense sponsor sponsored promo promotion promoted banner cookie cookies consent gdpr notice notification alert popup modal overlay newsletter"
+    " subscribe signup login nav navbar navigation menu breadcrumb breadcrumbs pagination pager sidebar side aside widget footer foot masthead topbar siteheader pageheader toolbar share sharing social"
+    " related recommended recommendations trending popular outbrain taboola copyright legal disclaimer skip hidden search".split()
+)
+ANSWERS = set("comment comments commentlist commentsection discussion disqus respond responses replies reply".split())
+PLAIN = set(
+    "area bar block box bottom btn button buttons col column columns container content count field footer form global group header holder icon icons inner item items left link links list main menu meta"
+    " mini mobile nav outer page panel pane post posts primary right row secondary section site slot small sticky sub text thread title top unit user widgets wrap wrapper zone".split()
 )
 _GOOD = re.compile(r"(?:^|[\s_-])(?:article|body|content|entry|main|post|story|text|blog|hentry)(?:$|[\s_-])", re.I)
-_ANSWER = re.compile(r"(?:^|[\s_-])(?:comments?|commentlist|discussion|disqus|respond|responses|replies|reply)(?:$|[\s_-])", re.I)
 _UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 _HUMP = re.compile("([a-z])([A-Z])")
+_PARTS = re.compile(r"[_-]+|(?<=[a-z])(?=[0-9])")
 #: What a wrapper has or lacks is no name of the wrapper itself.
 _ABOUT = ("has-", "has_", "no-", "with-", "without-", "is-")
 _BAD_ROLE = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "alert", "alertdialog", "dialog", "menu", "menubar", "toolbar"}
+#: What the points of a part with a side part's name count.
+SIDE_WEIGHT = 0.1
 
 
 def _names(attrs: dict[str, str | None]) -> str:
@@ -58,23 +65,34 @@ def _names(attrs: dict[str, str | None]) -> str:
     return " ".join(t for t in _HUMP.sub(r"\1-\2", found).split() if not t.lower().startswith(_ABOUT)) if found else ""
 
 
+def _says(names: str, words: set[str]) -> bool:
+    """Whether a whole name is made of these words, of which it has one at least, and of words that add nothing."""
+    for name in names.lower().split():
+        parts = [x for x in _PARTS.split(name) if x and not x.isdigit()]
+        if any(x in words for x in parts) and all(x in words or x in PLAIN for x in parts):
+            return True
+    return False
+
+
 class Node:
-    __slots__ = ("tag", "parent", "children", "dropped", "by_name", "form", "bonus", "points", "length", "linked")
+    """holder: the nearest block above. dropped: not main text. side: named like a side part, which weighs its points and cuts it in the end."""
+
+    __slots__ = ("tag", "parent", "holder", "children", "dropped", "side", "form", "bonus", "points", "length", "linked")
 
-    def __init__(self, tag: str, parent: Node | None, attrs: dict[str, str | None] | None = None):
+    def __init__(self, tag: str, parent: Node | None, attrs: dict[str, str | None] | None = None, in_article: bool = False):
         self.tag, self.parent, self.children, self.points = tag, parent, [], 0.0
+        self.holder = parent if parent is None or parent.tag in BLOCK else parent.holder
         attrs = attrs or {}
         named = _names(attrs)
         article = tag in ("article", "main")
         good = bool(named and _GOOD.search(named))
         self.bonus = 25.0 * article + 15.0 * good
         self.form = tag == "form"
-        self.dropped = tag in DROPPED and not self.form or tag == "header" and not any(a.tag in ("article", "main") for a in self.above())
+        self.dropped = tag in DROPPED and not self.form or tag == "header" and not in_article
+        self.side = False
         if attrs and tag not in ("html", "body") and not self.dropped:
             self.dropped = "hidden" in attrs or (attrs.get("role") or "").lower() in _BAD_ROLE - {tag} or (attrs.get("aria-hidden") or "").lower() == "true" or bool(_UNSEEN.search(attrs.get("style") or ""))
-            self.dropped = self.dropped or bool(named) and bool(_ANSWER.search(named)) and not (tag == "main")
-        self.by_name = not self.dropped and bool(named) and tag not in ("html", "body") and bool(_BAD.search(named)) and not (article and good)
-        self.dropped = self.dropped or self.by_name
+            self.side = bool(named) and tag != "main" and (_says(named, ANSWERS) or _says(named, SIDE) and not (article and good))
         self.form = self.form and not self.dropped  # dropped as a form only, unless it turns out to be a wrapper
         self.dropped = self.dropped or self.form
 
@@ -86,39 +104,56 @@ class Node:
 
 
 class _Builder(HTMLParser):
+    """Open elements are a path from the root; depths of each kind are kept, so that an element to close is found without a walk."""
+
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.root = self.open = Node("html", None)
+        self.root = Node("html", None)
+        self.path = [self.root]
+        self.depths: dict[str, list[int]] = {}
+        self.blocks: list[int] = []
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag == "html":
             return
         if tag in BLOCK:
-            self._close({"p"}, BLOCK - {"p"})
+            self._close({"p"}, None)
         if tag in CLOSED_BY:
             self._close(CLOSED_BY[tag], LIMITS[tag])
-        node = Node(tag, self.open, dict(attrs))
-        self.open.children.append(node)
+        node = Node(tag, self.path[-1], dict(attrs), self._depth({"article", "main"}) > 0)
+        self.path[-1].children.append(node)
         if tag not in VOID:
-            self.open = node
+            self.depths.setdefault(tag, []).append(len(self.path))
+            if tag in BLOCK:
+                self.blocks.append(len(self.path))
+            self.path.append(node)
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)
 
     def handle_endtag(self, tag: str) -> None:
         if tag not in VOID and tag not in ("html", "body"):
-            self._close({tag}, set() if tag in BLOCK else BLOCK)
+            self._close({tag}, set() if tag in BLOCK else None)
 
-    def _close(self, tags: set[str], limits: set[str]) -> None:
-        """Closes the nearest open element of these tags, unless one of limits is nearer."""
-        node = self.open
-        while node.parent is not None and node.tag not in tags and node.tag not in limits:
-            node = node.parent
-        if node.parent is not None and node.tag in tags:
-            self.open = node.parent
+    def parse_marked_section(self, i: int, report: bool = True) -> int:
+        return self.parse_bogus_comment(i)
+
+    def _depth(self, tags: set[str]) -> int:
+        return max((self.depths[t][-1] for t in tags if self.depths.get(t)), default=0)
+
+    def _close(self, tags: set[str], limits: set[str] | None) -> None:
+        """Closes the nearest open element of these tags, unless one of limits (None: a block) is nearer."""
+        at = self._depth(tags)
+        near = (self.blocks[-1] if self.blocks else 0) if limits is None else self._depth(limits)
+        if at and at >= near:
+            while len(self.path) > at:
+                tag = self.path.pop().tag
+                self.depths[tag].pop()
+                if tag in BLOCK:
+                    self.blocks.pop()
 
     def handle_data(self, data: str) -> None:
-        self.open.children.append(data)
+        self.path[-1].children.append(data)
 
 
 def parse(html: str) -> Node:
@@ -139,6 +174,10 @@ def _walk(root: Node) -> list[Node]:
     return out
 
 
+def block_points(text: str) -> float:
+    return 1 + text.count(",") + min(len(text) / 100, 3)
+
+
 def _score(root: Node) -> list[Node]:
     nodes = _walk(root)
     for node in reversed(nodes):
@@ -146,27 +185,30 @@ def _score(root: Node) -> list[Node]:
         kept = [c for c in node.children if isinstance(c, Node) and not c.dropped]
         node.length = len(own.strip()) + sum(c.length for c in kept)
         node.linked = node.length if node.tag == "a" else sum(c.linked for c in kept)
+    weight: dict[int, float] = {}
+    for node in nodes:
+        node.points = 0.0
     for node in nodes:
+        weight[id(node)] = (weight[id(node.parent)] if node.parent else 1.0) * (SIDE_WEIGHT if node.side else 1.0)
         # A block's own text: what stands in it outside of other blocks.
-        text, stack = [], [c for c in node.children] if node.tag in BLOCK else []
+        text, stack = [], node.children[::-1] if node.tag in BLOCK else []
         while stack:
             c = stack.pop()
             if isinstance(c, str):
                 text.append(c)
             elif not c.dropped and c.tag not in BLOCK:
-                stack += c.children
+                stack += reversed(c.children)
         joined = " ".join("".join(text).split())
         if not joined:
             continue
-        share, points = 1.0, 1 + joined.count(",") + min(len(joined) / 100, 3)
-        holder = node if node.tag not in ("p", "h1", "h2", "h3", "h4", "h5", "h6", "pre", "li", "td") else node.parent
-        step = 0
-        while holder is not None and step < 6:
-            if holder.tag in BLOCK:
-                holder.points += points * share
-                step += 1
-                share = 0.5 if step == 1 else 1 / (3 * step)
-            holder = holder.parent
+        share, points = 1.0, block_points(joined) * weight[id(node)]
+        holder = node if node.tag not in ("p", "h1", "h2", "h3", "h4", "h5", "h6", "pre", "li", "td") else node.holder
+        for step in range(1, 7):
+            if holder is None:
+                break
+            holder.points += points * share
+            share = 0.5 if step == 1 else 1 / (3 * step)
+            holder = holder.holder
     return nodes
 
 
@@ -213,18 +255,26 @@ def extract(html: str | None) -> str:
         return ""
     root = parse(html)
     _unwrap(root)
+    # Names only weigh the scores that find the best container; then side parts go, but never one that holds it.
+    best = max(_containers(root), key=_value, default=None)
+    if best is None:
+        return ""
+    around = {id(best), *map(id, best.above())} if _value(best) > 0 else set()
+    cut = [n for n in _all(root) if n.side and not n.dropped and id(n) not in around]
+    for node in cut:
+        node.dropped = True
     found = _best(root)
-    if not found:  # a name that sounds like a side part can be that of the whole page
-        nodes = _all(root)
-        for node in nodes:
-            node.points = 0.0
-            if node.tag in ("article", "main", "h1"):
-                for a in (node, *node.above()):
-                    a.dropped = a.dropped and not a.by_name
+    if not found:  # nothing but side parts
+        for node in cut:
+            node.dropped = False
         found = _best(root)
     return found
 
 
+def _containers(root: Node) -> list[Node]:
+    return [n for n in _score(root) if n.tag in BLOCK and n.tag not in ("p", *HEADINGS, "li", "tr")] or [root]
+
+
 def _all(root: Node) -> list[Node]:
     out, stack = [], [root]
     while stack:
@@ -254,9 +304,8 @@ def _whole(best: Node) -> Node:
 
 
 def _best(root: Node) -> str:
-    nodes = [n for n in _score(root) if n.tag in BLOCK and n.tag not in ("p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "tr")]
-    best = max(nodes, key=_value, default=None)
-    if best is None or not root.length:
+    best = max(_containers(root), key=_value)
+    if not root.length:
         return ""
     if _value(best) <= 0:
         return _texts([root])
