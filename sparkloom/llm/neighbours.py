@@ -2,7 +2,7 @@
 
 Vectors are brought to length one, so that the nearest by distance is the nearest by cosine, and projected by a
 normal (2-stable) matrix to `dims` dimensions. The projections of up to `tree_rows` vectors are indexed by a kd-tree.
-A query takes the tree's leaves in the order of their distance in the projection and measures the original vectors in
+A query takes the tree's leaves in the order of their distance in the projection, from a queue of nodes, and measures the original vectors in
 them. It stops when the next leaf is so far that a vector nearer than the k-th best so far would have been seen with
 probability `sure`: its squared projected distance, divided by its squared distance, is chi-square distributed.
 
@@ -11,12 +11,14 @@ blocks of at most `block_queries` vectors. Equal vectors are one entry of the in
 all that any query can need.
 
 Edge cases: rows whose vec_id is null, and vectors that are null, empty, zero or hold null or non-finite components, take no part.
-Vectors are compared with those of their own length only. Repeated rows count once; a query never finds its own vec_id.
+Ties, as among scaled copies of a vector, go to the smaller vec_id:
+candidates whose single-precision cosines might tie are all kept and ranked in double precision. Vectors are compared with those of their own length only. Repeated rows count once; a query never finds its own vec_id.
 Fewer than k candidates give fewer rows; none give none. Other columns are ignored.
 """
 
 from __future__ import annotations
 
+import heapq
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -53,58 +55,89 @@ def chi_square_quantile(p: float, dims: int) -> float:
     return high
 
 
-def kd_leaves(points: np.ndarray, leaf: int) -> list[np.ndarray]:
-    """Rows of each leaf: halves along the widest side until small enough."""
-    out, stack = [], [np.arange(len(points))]
-    while stack:
-        rows = stack.pop()
-        if len(rows) <= leaf:
-            out.append(rows)
-            continue
-        side = int(np.argmax(np.ptp(points[rows], axis=0)))
-        order = np.argpartition(points[rows, side], len(rows) // 2)
-        stack += [rows[order[len(rows) // 2 :]], rows[order[: len(rows) // 2]]]
-    return out
+class Tree:
+    """A kd-tree: halves along the widest side until small enough. The two children of a node are side by side; a leaf is a range of `order`."""
+
+    def __init__(self, points: np.ndarray, leaf: int):
+        self.order = np.arange(len(points))
+        self.begins, self.ends, self.child = [0], [len(points)], [-1]
+        at = 0
+        while at < len(self.begins):
+            a, b = self.begins[at], self.ends[at]
+            if b - a > leaf:
+                rows = self.order[a:b]
+                side = int(np.argmax(np.ptp(points[rows], axis=0)))
+                middle = (b - a) // 2
+                self.order[a:b] = rows[np.argpartition(points[rows, side], middle)]
+                self.child[at] = len(self.begins)
+                self.begins += [a, a + middle]
+                self.ends += [a + middle, b]
+                self.child += [-1, -1]
+            at += 1
+        boxes = [points[self.order[a:b]] for a, b in zip(self.begins, self.ends, strict=True)]
+        self.low, self.high = (np.array([f(x, axis=0) for x in boxes]) for f in (np.min, np.max))
+
+    def leaves(self, query: np.ndarray) -> Iterator[tuple[float, int, int]]:
+        """Squared distance, begin and end of each leaf, nearest first, from a queue of nodes. Only nodes on the way are looked at."""
+        queue = [(0.0, 0)]
+        while queue:
+            far, node = heapq.heappop(queue)
+            child = self.child[node]
+            if child < 0:
+                yield far, self.begins[node], self.ends[node]
+                continue
+            out = np.maximum(0, np.maximum(self.low[child : child + 2] - query, query - self.high[child : child + 2]))
+            left, right = np.einsum("ij,ij->i", out, out).tolist()
+            heapq.heappush(queue, (left, child))
+            heapq.heappush(queue, (right, child + 1))
 
 
 class Index:
     def __init__(self, vectors: np.ndarray, s: Settings):
-        self.s = s
-        unit = vectors / np.linalg.norm(vectors, axis=1)[:, None]
+        self.s, self.vectors = s, vectors
+        self.norms = np.linalg.norm(vectors, axis=1)
+        unit = vectors / self.norms[:, None]
         self.matrix = np.random.default_rng(s.seed).standard_normal((vectors.shape[1], s.dims))
-        points = unit @ self.matrix
-        leaves = kd_leaves(points, s.leaf)
-        self.order = np.concatenate(leaves)
-        self.ends = np.cumsum([len(x) for x in leaves])
-        self.begins = np.concatenate(([0], self.ends[:-1]))
-        self.unit = unit[self.order].astype(np.float32)  # for the search; scores come from the vectors
-        self.low = np.array([points[x].min(axis=0) for x in leaves])
-        self.high = np.array([points[x].max(axis=0) for x in leaves])
+        self.tree = Tree(unit @ self.matrix, s.leaf)
+        self.unit = unit[self.tree.order].astype(np.float32)  # for the search; scores come from the vectors
+        self.slack = 2 * (vectors.shape[1] + 4) * 2.0**-24  # how far two single-precision cosines may be off
         self.bound = chi_square_quantile(s.sure, s.dims)
 
-    def search(self, query: np.ndarray, k: int) -> np.ndarray:
-        """Rows of the vectors nearest to a unit vector, nearest first."""
-        q = query @ self.matrix
-        far = np.square(np.maximum(0, np.maximum(self.low - q, q - self.high))).sum(axis=1)
-        turn = np.argsort(far, kind="stable")
-        like = query.astype(np.float32)
+    def search(self, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Rows and cosines of the vectors nearest to a vector, nearest first: k, and all that are as near as the last of these."""
+        norm = np.linalg.norm(query)
+        like = (query / norm).astype(np.float32)
+        leaves = self.tree.leaves((query / norm) @ self.matrix)
         best, rows = np.zeros(0, dtype=np.float32), np.zeros(0, dtype=np.int64)
-        at, step = 0, 8
-        while at < len(turn):
-            if len(best) >= k and far[turn[at]] >= self.bound * max(0.0, 2 - 2 * float(best[k - 1])):
-                break
-            leaves = turn[at : at + step]
-            counts = self.ends[leaves] - self.begins[leaves]
-            seen = np.arange(counts.sum()) + np.repeat(self.begins[leaves] - np.cumsum(counts) + counts, counts)
-            found = self.unit[seen] @ like
-            if len(best) >= 2 * k:
-                good = np.flatnonzero(found > best[-1])
-                found, seen = found[good], seen[good]
-            best, rows = np.concatenate([best, found]), np.concatenate([rows, seen])
-            keep = np.argsort(-best, kind="stable")[: 2 * k]
-            best, rows = best[keep], rows[keep]
-            at, step = at + step, min(2 * step, 64)
-        return self.order[rows]
+        kth, step, over = -2.0, 8, False
+        while not over:
+            seen = []
+            for far, a, b in leaves:
+                if len(best) >= k and far >= self.bound * max(0.0, 2 - 2 * kth):
+                    over = True
+                    break
+                seen.append(np.arange(a, b))
+                if len(seen) == step:
+                    break
+            over = over or len(seen) < step
+            if seen:
+                places = np.concatenate(seen)
+                found = self.unit[places] @ like
+                good = np.flatnonzero(found >= kth - self.slack)
+                best, rows = np.concatenate([best, found[good]]), np.concatenate([rows, places[good]])
+                if len(best) > k:
+                    kth = float(np.partition(best, len(best) - k)[len(best) - k])
+                    keep = best >= kth - self.slack
+                    best, rows = best[keep], rows[keep]
+                elif len(best) == k:
+                    kth = float(best.min())
+            step = min(2 * step, 64)
+        rows = self.tree.order[rows]
+        scores = (self.vectors[rows] * query).sum(axis=1) / (self.norms[rows] * norm)
+        turn = np.argsort(-scores, kind="stable")
+        if len(turn) > k:
+            turn = turn[scores[turn] >= scores[turn[k - 1]]]
+        return rows[turn], scores[turn]
 
 
 def _searched(batches: Iterator[pd.DataFrame], shared, s: Settings) -> Iterator[pd.DataFrame]:
@@ -115,13 +148,11 @@ def _searched(batches: Iterator[pd.DataFrame], shared, s: Settings) -> Iterator[
         rows = held.pop(size)
         vectors = np.array([v for v, _ in rows], dtype=np.float64)
         ids, asked = queries[size]
-        index = Index(vectors, s)
-        norms, out = np.linalg.norm(vectors, axis=1), []
+        index, out = Index(vectors, s), []
         for query, vector in zip(ids.tolist(), asked, strict=True):
-            norm = np.linalg.norm(vector)
-            for j in index.search(vector / norm, s.k + 1).tolist():
-                score = float(vectors[j] @ vector / (norms[j] * norm))
-                out += [(query, other, score) for other in rows[j][1] if other != query]
+            near, scores = index.search(vector, s.k + 1)
+            pairs = [(-score, other) for j, score in zip(near.tolist(), scores.tolist(), strict=True) for other in rows[j][1] if other != query]
+            out += [(query, other, -score) for score, other in heapq.nsmallest(s.k, pairs)]
             if len(out) > 50_000:
                 yield pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
                 out = []

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import time
 import zlib
 
 import numpy as np
@@ -380,6 +381,56 @@ def test_html_reads_pages_inside_a_form():
     assert html.extract(f"<body><form hidden>{text}</form></body>") == ""
 
 
+STORY = "<p>" + "This is a long story about things, with commas, and much more text than before. " * 6 + "</p>"
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f'<article class="post comments-open">{STORY}</article>', f'<article class="post reply-to-editor">{STORY}</article>', f'<div class="post side-by-side">{STORY}</div>',
+        f'<div id="content" class="share-enabled">{STORY}</div>', f'<section class="legal-news">{STORY}</section>', f"<form>{STORY}</form>", f'<main><div class="discussion">{STORY}</div></main>',
+        f'<article><div class="search-and-rescue">{STORY}</div></article>', f'<div class="sidebar">{STORY}</div>',
+    ],
+)
+def test_html_names_weigh_but_do_not_hide_the_article(page):
+    assert html.extract(f"<body><div class=ad>Buy, now</div>{page}</body>") == " ".join(STORY[3:-4].split())
+
+
+@pytest.mark.parametrize("name", ["sidebar", "comment-list", "cookie_notice", "relatedPosts", "ad-slot-2", "share-buttons", "site-footer"])
+def test_html_side_parts_go(name):
+    side = f'<div class="{name}"><p>Side words, many, of them, and more.</p></div>'
+    assert "Side" not in html.extract(f"<body><div>{STORY}{side}{STORY}</div></body>")
+
+
+def test_html_points_and_link_density_against_a_plain_sum():
+    page = "<body><div><p>one, two, three</p><p>four <a href=x>five</a></p><div><p>six, seven</p></div></div></body>"
+    root = html.parse(page)
+    nodes = {(n.tag, k): n for k, n in enumerate(html._score(root))}
+    divs = [n for (tag, _), n in nodes.items() if tag == "div"]
+    first, second, inner = (html.block_points(t) for t in ("one, two, three", "four five", "six, seven"))
+    assert html.block_points("a, b" + "x" * 400) == 1 + 1 + 3
+    assert abs(divs[0].points - (first + second + inner * 0.5)) < 1e-9 and abs(divs[1].points - inner) < 1e-9
+    assert abs(html._value(divs[0]) - divs[0].points * (1 - 4 / len("one, two, threefourfivesix, seven"))) < 1e-9
+
+
+def test_html_reads_any_text():
+    r = random.Random(5)
+    parts = ["<", ">", "!", "[", "]", "<![", "<!--", "-->", "</", "<?", "&#x", "&amp", "<p", "<div class='", "'", '"', "=", "<a href=", "<script>", "</script", "<form>", "<li>", "text, ", "<table><td>", "\x00", "\ud83d", "é", "<!doctype", "<![CDATA["]
+    page = "<html><body><nav>x</nav><article><h1>T</h1>" + STORY + "</article><footer>f</footer></body></html>"
+    for k in range(10_000):
+        text = list(page[: 60 + r.randrange(len(page) - 60)]) if k % 2 else []
+        for _ in range(r.randint(1, 8)):
+            text.insert(r.randint(0, len(text)), r.choice(parts))
+        html.extract("".join(text))
+
+
+@pytest.mark.parametrize("page", ["<span>" * 100_000 + "x" + "</div>" * 100_000, "<div>" * 50_000 + "<header>" * 50_000 + "x", "<div><b>" + "<i>" * 50_000 + "<hr>" * 50_000 + "</b>" * 50_000, "<div>" * 100_000 + "x", "<ul><li>x" * 50_000, "<span>" * 50_000 + "<div>y</div>" * 50_000])
+def test_html_is_linear(page):
+    begin = time.process_time()
+    html.extract(page)
+    assert time.process_time() - begin < 20
+
+
 def test_packing_places_every_piece(spark, odd):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").unionByName(odd.select("doc_id", "text"))
     rows = packing.pack(packing.pieces(docs, BYTE).select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")), pool=60).collect()
@@ -426,6 +477,37 @@ def test_placing_takes_the_smallest_sum_of_squares():
         assert all(open_[b] == gaps[b] for b in open_)
 
 
+def test_bins_are_opened_for_what_fits_in_none():
+    r = np.random.default_rng(7)
+    for _ in range(30):
+        lengths = r.integers(1, 21, 40)
+        bins, offsets, gaps = packing.place(lengths, 20, opens=False)
+        open_ = {}
+        for i in np.argsort(-lengths, kind="stable"):
+            fits = {b: g for b, g in open_.items() if g >= lengths[i]}
+
+            def total(b, g):
+                left = [*(x for k, x in open_.items() if k != b), g]
+                return sum(left.count(x) ** 2 for x in set(left) if x > 0)
+
+            b, g = bins[i], open_.get(bins[i], 20)
+            assert (b in fits) == bool(fits) and offsets[i] == 20 - g
+            if fits:
+                assert total(b, g - lengths[i]) == min(total(k, x - lengths[i]) for k, x in fits.items())
+            open_[b] = g - lengths[i]
+        assert all(open_[b] == gaps[b] for b in open_)
+
+
+def test_packing_is_close_to_the_lower_bound(spark):
+    r = np.random.default_rng(8)
+    lengths = np.minimum(2048, r.lognormal(6.4, 1.0, 3000).astype(int) + 1)
+    table = spark.createDataFrame([(i, int(n), "x") for i, n in enumerate(lengths)], "id long, length long, _open string")
+    least = -(-int(lengths.sum()) // 2048)
+    for pool in (40_000, 400):
+        rows = packing.pack(table.drop("_open"), pool=pool)
+        assert rows.count() == 3000 and rows.select("sequence_id").distinct().count() <= (1.002 if pool > 3000 else 1.01) * least + 1
+
+
 def _exact(rows, k=5):
     good = {i: np.array(v, float) for i, v in rows if i is not None and v and all(x is not None and np.isfinite(x) for x in v) and any(v)}
     out = {}
@@ -450,6 +532,27 @@ def test_neighbours_recall_and_edges(spark):
     assert neighbours.nearest(small.limit(0)).count() == 0
 
 
+def test_neighbours_among_scaled_copies_are_the_smallest_ids(spark):
+    r = np.random.default_rng(3)
+    base = r.standard_normal(16)
+    rows = [(i, (base * 2.0 ** ((i * 7) % 23 - 11)).tolist()) for i in range(60)] + [(100 + i, r.standard_normal(16).tolist()) for i in range(200)]
+    random.Random(2).shuffle(rows)
+    out = neighbours.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3), settings=neighbours.Settings(leaf=8, tree_rows=70)).orderBy("query_id", "rank").collect()
+    assert [x["vec_id"] for x in out if x["query_id"] == 0] == [1, 2, 3, 4, 5]
+    assert [x["vec_id"] for x in out if x["query_id"] == 50] == [0, 1, 2, 3, 4]
+
+
+def test_tree_gives_all_leaves_nearest_first():
+    r = np.random.default_rng(4)
+    points = r.standard_normal((1000, 4))
+    tree = neighbours.Tree(points, 16)
+    query = r.standard_normal(4)
+    found = list(tree.leaves(query))
+    assert sorted(i for _, a, b in found for i in tree.order[a:b].tolist()) == list(range(1000))
+    far = [x for x, _, _ in found]
+    assert far == sorted(far) and all(((points[tree.order[a:b]] - query) ** 2).sum(axis=1).min() >= x - 1e-12 for x, a, b in found)
+
+
 def test_chat_round_trip(spark):
     common = [("system", "be kind"), ("user", "hello <|im_end|> <\\|x|> <|endoftext|>")]
     convs = {i: [*common, ("assistant", f"reply {i % 3} é🙂"), ("user", "more"), ("assistant", f"again {i}")][: 3 + i % 3] for i in range(20)}
