@@ -5,9 +5,9 @@ length are searched together: the last two words at the search position are the
 how far the search may jump when the block ends no window; a block that does end one leads to the bucket of its
 windows, which are compared word by word.
 
-Scale: no document is shuffled. Windows are searched in blocks of at most `block_windows`, so what is sent
-to executors has a fixed size; a benchmark beyond one block is searched block by block, and the hit spans of a
-document (not its text) are united by doc and row. One block needs no shuffle at all.
+Scale: one block of windows needs no shuffle at all. A benchmark of more than `block_windows` windows is searched in blocks of distinct windows, so what is sent
+to executors has a fixed size however many items share a window, and is taken back when its block is done; then the hit spans and window ids of a
+document (not its text) are united by row and meet their items in a join.
 
 Edge cases: null and empty texts have no words; a null item text has no window; equal windows of several items
 hit for all of them; a null item_id is reported as the empty string in the digest. Repeated document rows give a row
@@ -126,20 +126,20 @@ def _spans(batches: Iterator[pd.DataFrame], shared) -> Iterator[pd.DataFrame]:
         out = []
         for row, text in zip(batch["row"], batch["text"], strict=True):
             words = words_of(text)
-            hit, items = _hits(words, searchers)
+            hit, found = _hits(words, searchers)
             edge = np.flatnonzero(np.diff(np.concatenate(([0], hit.view(np.int8), [0]))))
-            out.append((row, len(words), edge[0::2].tolist(), edge[1::2].tolist(), sorted(items)))
-        yield pd.DataFrame(out, columns=["row", "n_words", "starts", "ends", "items"])
+            out.append((row, len(words), edge[0::2].tolist(), edge[1::2].tolist(), sorted(found)))
+        yield pd.DataFrame(out, columns=["row", "n_words", "starts", "ends", "found"])
 
 
 def _united(n: pd.Series, starts: pd.Series, ends: pd.Series, items: pd.Series) -> pd.DataFrame:
     out = []
-    for words, a, b, found in zip(n, starts, ends, items, strict=True):
+    for words, a, b, names in zip(n, starts, ends, items, strict=True):
         edges = np.zeros(words + 1, dtype=np.int64)
         for x, y in zip(a, b, strict=True):
             np.add.at(edges, np.asarray(x, dtype=np.int64), 1)
             np.add.at(edges, np.asarray(y, dtype=np.int64), -1)
-        names = {i for part in found for i in part}
+        names = set() if names is None else set(names)
         out.append((words, int((np.cumsum(edges[:-1]) > 0).sum()), len(names), _digest(names)))
     return pd.DataFrame(out, columns=["n_words", "n_hit", "n_items", "items_sha256"])
 
@@ -152,19 +152,25 @@ def with_hits(docs: DataFrame, benchmark: DataFrame, name: str, block_windows: i
     n = windows.count()
     if n <= block_windows:
         return docs.withColumn(name, hits_column([(bytes(r["window"]), r["item"]) for r in windows.collect()], F.col("text"), spark))
-    blocks = -(-n // (block_windows // 2))  # hashed blocks of about half the limit
     row = "_row"
     while row in docs.columns or row == name:
         row += "_"
-    windows = written(windows.withColumn("block", F.pmod(F.xxhash64("window"), F.lit(blocks))), "windows")
+    windows = written(windows, "windows")
+    distinct = windows.select("window").distinct().withColumn("id", F.monotonically_increasing_id().cast("string"))
+    distinct = written(distinct, "distinct")
+    blocks = -(-distinct.count() // (block_windows // 2))  # hashed blocks of about half the limit
     kept = written(docs.withColumn(row, F.monotonically_increasing_id()), "documents")
-    found = None
+    parts = None
     for k in range(blocks):
-        shared = spark.sparkContext.broadcast([(bytes(r["window"]), r["item"]) for r in windows.where(F.col("block") == k).collect()])
-        part = kept.select(F.col(row).alias("row"), "text").mapInPandas(lambda it, s=shared: _spans(it, s), "row long, n_words long, starts array<long>, ends array<long>, items array<string>")
-        found = part if found is None else found.unionByName(part)
-    united = found.groupBy(F.col("row").alias(row)).agg(F.first("n_words").alias("n"), F.collect_list("starts").alias("a"), F.collect_list("ends").alias("b"), F.collect_list("items").alias("i"))
-    return kept.join(united.select(row, F.pandas_udf(_united, RESULT)("n", "a", "b", "i").alias(name)), row).drop(row)
+        shared = spark.sparkContext.broadcast([(bytes(r["window"]), r["id"]) for r in distinct.where(F.pmod(F.xxhash64("window"), F.lit(blocks)) == k).collect()])
+        part = kept.select(F.col(row).alias("row"), "text").mapInPandas(lambda it, s=shared: _spans(it, s), "row long, n_words long, starts array<long>, ends array<long>, found array<string>")
+        part = written(part, "spans")
+        shared.destroy()
+        parts = part if parts is None else parts.unionByName(part)
+    names = distinct.join(windows, "window").select("id", "item")
+    items = parts.select("row", F.explode("found").alias("id")).join(names, "id").groupBy("row").agg(F.collect_set("item").alias("i"))
+    united = parts.groupBy("row").agg(F.first("n_words").alias("n"), F.collect_list("starts").alias("a"), F.collect_list("ends").alias("b")).join(items, "row", "left")
+    return kept.join(united.select(F.col("row").alias(row), F.pandas_udf(_united, RESULT)("n", "a", "b", "i").alias(name)), row).drop(row)
 
 
 def decontamination(docs: DataFrame, benchmark: DataFrame, block_windows: int = 200_000) -> DataFrame:

@@ -189,7 +189,8 @@ def nearest(embeddings: DataFrame, every: int = 50, settings: Settings = Setting
             ids.append(r["vec_id"])
             vectors.append(r["vector"])
         shared = spark.sparkContext.broadcast({size: (np.array(ids, dtype=np.int64), np.array(vectors)) for size, (ids, vectors) in part.items()})
-        here = index.mapInPandas(lambda it, q=shared: _searched(it, q, s), "query_id long, vec_id long, score double")
+        here = written(index.mapInPandas(lambda it, q=shared: _searched(it, q, s), "query_id long, vec_id long, score double"), "found")
+        shared.destroy()
         found = here if found is None else found.unionByName(here)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     best = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score")).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= s.k)

@@ -270,6 +270,33 @@ def test_alignment_rises_in_both():
     assert len(licenses.align(list(b"abcdef"), list(b"abxdef"))) == 5
 
 
+def test_alignment_against_longest_common_subsequences():
+    def longest(a, b):
+        best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i, x in enumerate(a):
+            for j, y in enumerate(b):
+                best[i + 1][j + 1] = best[i][j] + 1 if x == y else max(best[i][j + 1], best[i + 1][j])
+        return best[-1][-1]
+
+    r = random.Random(18)
+    for _ in range(300):
+        words = [f"w{k}".encode() for k in range(14)]  # each once: anchors are all that is common
+        a, b = r.sample(words, r.randint(0, 12)), r.sample(words, r.randint(0, 12))
+        assert len(licenses.align(a, b)) == longest(a, b)
+        c, d = ([r.choice(words[:5]) for _ in range(r.randint(0, 12))] for _ in range(2))
+        assert len(licenses.align(c, d)) <= longest(c, d)
+
+
+def test_license_finds_with_ties_repeats_and_long_texts(spark):
+    mit, isc = licenses.LICENSES["MIT"], licenses.LICENSES["ISC"]
+    twice = f"{prose(1, 30)} {mit} {prose(2, 40)} {mit} {prose(3, 20)}"
+    long = f"{prose(4, 20_000)} {isc} {prose(5, 5000)}"
+    rows = [(1, twice), (2, long), (3, mit), (3, mit), (None, mit)]
+    out = sorted((r["doc_id"] or -1, r["license"], r["first_word"]) for r in licenses.license_scan(spark.createDataFrame(rows, "doc_id long, text string").withColumn("license", F.lit("x"))).collect())
+    n = len(words_of(mit))
+    assert out == [(-1, "MIT", 0), (1, "MIT", 30), (1, "MIT", 70 + n), (2, "ISC", 20_000), (3, "MIT", 0), (3, "MIT", 0)]
+
+
 def test_line_dedup_cuts_passages_wherever_they_stand(spark):
     passage = ". ".join(prose(1000 + k, 18).capitalize() for k in range(4)) + "."
     rows = [(i, f"{prose(i, 30)}.\n{prose(50 + i, 9 + i)}.\n{passage}\n{prose(90 + i, 25)}.") for i in range(6)] + [(9, prose(500, 200))]
