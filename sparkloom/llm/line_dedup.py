@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .store import dropped, small_batches, written
+from .tokens import forget
 from .words import GROUP_BYTES, mix
 
 #: Odd bases of the polynomial hashes of bytes and of pairs of words, and the first one's inverse modulo 2**64.
@@ -146,6 +147,7 @@ def _groups(texts: Iterable[bytes | None]) -> Iterator[list[bytes]]:
 
 def _chunked(batches: Iterator[pa.RecordBatch], s: Settings) -> Iterator[pa.RecordBatch]:
     """Digests and spans (start, and length in the low 32 bits) of the chunks of each text."""
+    forget()
     for batch in batches:
         digests, spans, counts = [], [], [np.zeros(0, dtype=np.int64)]
         for group in _groups(batch.column("data").to_pylist()):
@@ -158,15 +160,20 @@ def _chunked(batches: Iterator[pa.RecordBatch], s: Settings) -> Iterator[pa.Reco
         yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("key"), *lists], names=["id", "key", "digests", "spans"])
 
 
-def _bodies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Bytes of the chunks that come again; each text of a digest once for each batch."""
+    forget()
     for batch in batches:
+        again = batch.column("again")
+        ends = again.offsets.to_numpy()
+        digests, spans = (x.to_numpy() for x in again.flatten().flatten())
         seen: dict[tuple[int, bytes], None] = {}
-        for data, again in zip(batch["data"], batch["again"], strict=True):
-            for x in again:
-                start = x["span"] >> 32
-                seen[x["digest"], data[start : start + (x["span"] & 0xFFFFFFFF)].strip(SPACE)] = None
-        yield pd.DataFrame(list(seen), columns=["digest", "body"]).astype({"digest": "int64"})
+        for data, a, b in zip(batch.column("data"), (ends[:-1] - ends[0]).tolist(), (ends[1:] - ends[0]).tolist(), strict=True):
+            data = data.as_py()
+            for digest, span in zip(digests[a:b].tolist(), spans[a:b].tolist(), strict=True):
+                start = span >> 32
+                seen[digest, data[start : start + (span & 0xFFFFFFFF)].strip(SPACE)] = None
+        yield pa.RecordBatch.from_arrays([pa.array([d for d, _ in seen], pa.int64()), pa.array([x for _, x in seen], pa.binary())], names=["digest", "body"])
 
 
 def _cut(texts: pd.Series, spans: pd.Series) -> pd.Series:
@@ -210,7 +217,7 @@ def without_repeats(docs: DataFrame, settings: Settings = Settings(), count: str
     joined = written(side.join(again.hint("merge"), on, "left").select("row", "id", "key", "again"), "joined")
     dropped(again)
     data = F.col("row.text").cast("binary").alias("data")
-    bodies = joined.where("again IS NOT NULL").select(data, F.transform("again", lambda x: F.struct(x["digest"].alias("digest"), x["span"].alias("span"))).alias("again")).mapInPandas(_bodies, "digest long, body binary")
+    bodies = joined.where("again IS NOT NULL").select(data, F.transform("again", lambda x: F.struct(x["digest"].alias("digest"), x["span"].alias("span"))).alias("again")).mapInArrow(_bodies, "digest long, body binary")
     unlike = written(bodies.groupBy("digest").agg(F.min("body").alias("low"), F.max("body").alias("high")).where("low != high").select("digest"), "unlike")
     if unlike.isEmpty():
         gone = F.filter("again", lambda x: x["gone"])
@@ -219,8 +226,9 @@ def without_repeats(docs: DataFrame, settings: Settings = Settings(), count: str
         spared = spared.select(F.col("id").alias("_id"), F.col("key").alias("_of"), "spared")
         joined = joined.join(spared, F.col("id").eqNullSafe(F.col("_id")) & (F.col("key") == F.col("_of")), "left")
         gone = F.filter("again", lambda x: x["gone"] & ~F.coalesce(F.array_contains("spared", x["digest"]), F.lit(False)))
+    # Called non-deterministic so that a filter on the new text doesn't have it cut twice.
     marked = joined.select("row", F.transform(gone, lambda x: x["span"]).alias("gone")).withColumn("gone", F.when(F.size("gone") > 0, F.col("gone")))
-    cut = F.pandas_udf(_cut, "binary")(F.when(F.col("gone").isNotNull(), data), F.col("gone")).cast("string")
+    cut = F.pandas_udf(_cut, "binary").asNondeterministic()(F.when(F.col("gone").isNotNull(), data), F.col("gone")).cast("string")
     changed = marked.select("row", F.when(F.col("gone").isNull(), F.col("row.text")).otherwise(cut).alias("text"), F.coalesce(F.size("gone"), F.lit(0)).alias("removed"))
     kinds = {f.name: f.dataType for f in docs.schema.fields}
     columns = [F.col("text") if c == "text" else F.when(F.col("removed") > 0, F.char_length("text")).otherwise(F.col("row.n_chars")).cast(kinds[c]).alias(c) if c == "n_chars" else F.col(f"row.`{c}`") for c in docs.columns]

@@ -38,6 +38,7 @@ from pyspark.sql import functions as F
 
 from ..operators.components import components
 from .store import dropped, written
+from .tokens import forget
 from .words import Words, fold, grouped, mix
 
 SHINGLE = 5
@@ -130,6 +131,7 @@ def signatures(text: np.ndarray, item: np.ndarray, weight: np.ndarray, n_texts:
 
 
 def _describe(batches: Iterator[pd.DataFrame], s: Settings) -> Iterator[pd.DataFrame]:
+    forget()
     k = s.bands * s.rows
     for batch in batches:
         at = 0

@@ -105,3 +105,8 @@ def encoder(path: str, layout: str) -> Encoder:
     if (path, layout) not in _encoders:
         _encoders[path, layout] = Encoder(path, layout)
     return _encoders[path, layout]
+
+
+def forget() -> None:
+    """A worker that goes on to other work gives its memos back."""
+    _encoders.clear()
