@@ -6,6 +6,7 @@ import hashlib
 import random
 import time
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -60,6 +61,22 @@ def test_toxicity_learns_and_counts_unseen_endings(spark):
     assert np.mean([out[i]["predicted"] == (i % 4 == 0) for i in held]) > 0.95
     assert all(out[i]["passage_start"] is not None for i in held if out[i]["predicted"])
     assert {r["doc_id"] for r in toxicity.without_toxic(docs, marks).collect()} == {i for i in out if not out[i]["predicted"]}
+    joined = toxicity.toxicity(docs, marks, toxicity.Settings(broadcast_keys=0)).collect()  # counts too many to send
+    assert len(joined) == 600 and all(abs(r["score"] - out[r["doc_id"]]["score"]) < 1e-6 and r["passages"] == out[r["doc_id"]]["passages"] for r in joined)
+
+
+def test_toxicity_counts_are_exact(spark):
+    rows = [(i, f"{prose(i, 30)} {prose(i % 7, 20)}") for i in range(200)]
+    docs, marks = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(i, 0, i % 3 // 2) for i, _ in rows], "doc_id long, quality int, toxic int")
+    m, table = toxicity.learn(docs, marks, toxicity.Settings(broadcast_keys=0))
+    plain = Counter()
+    for i, text in rows:
+        if zlib.crc32(str(i).encode()) % 5:
+            plain.update((level, part, i % 3 // 2) for level, part in {(k or 0, w[:k]) for w in words_of(text) for k in (4, 5, 6, None) if k is None or len(w) > k})
+    pairs = Counter()
+    for (level, part, label), n in plain.items():
+        pairs[level, part] += n * (1000 if label else 1)
+    assert sorted((r["clean"], r["toxic"]) for r in table.collect()) == sorted((n % 1000, n // 1000) for n in pairs.values())
 
 
 def test_toxic_passages_of_words_that_came_before_are_all_found(spark):
