@@ -12,7 +12,7 @@ of it is removed.
 
 Scale: chunks are found once, with arrays over many texts at a time, and kept as a table of digests and places. Digests are counted after a sum in each task; only
 places of repeated ones go on. Texts are shuffled once, to meet their places; bytes are compared where they then lie, equal ones of a batch having become
-one, so a passage that a third of all texts share costs one row for each batch. Intermediate tables are deleted when the next one is written.
+one, so a passage that a third of all texts share costs one row for each batch. The places of very common chunks are dealt to many tasks by a salt. Intermediate tables are deleted when the next one is written.
 
 Edge cases: null texts stay null, empty ones empty. A text whose chunks are all removed becomes what is left, maybe
 empty; its row stays. Rows with equal doc_id and text count as one document and are changed alike. A null doc_id comes
@@ -41,6 +41,9 @@ INVERSE = pow(BASES[0], -1, 1 << 64)
 
 SPACE = b" \t\n\x0b\x0c\r"
 
+#: A digest with over 1 in HOT of all repeated places has its places dealt to SALTS tasks.
+HOT, SALTS = 1000, 64
+
 
 @dataclass(frozen=True)
 class Settings:
@@ -201,15 +204,22 @@ def without_repeats(docs: DataFrame, settings: Settings = Settings(), count: str
     kind = docs.schema["doc_id"].dataType.simpleString()
     chunked = written(source.mapInArrow(lambda it: _chunked(it, s), f"id {kind}, key long, digests array<long>, spans array<long>"), "chunks")
     # Digests that come twice, their places, and the first of these.
-    often = chunked.select(F.explode("digests").alias("digest")).groupBy("digest").agg(F.count("*").alias("n")).where("n > 1").select("digest")
+    often = written(chunked.select(F.explode("digests").alias("digest")).groupBy("digest").agg(F.count("*").alias("n")).where("n > 1"), "often")
+    total = often.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    hot = F.broadcast(often.where(F.col("n") * HOT > total).select("digest", F.lit(True).alias("hot")))  # under HOT rows, as the sum of their n is at most total
+    dealt = F.when(F.col("hot"), F.pmod(F.xxhash64("id", "key", "span"), F.lit(SALTS)).cast("int")).otherwise(0)
+    all_salts = F.explode(F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0))))
     each = chunked.select("id", "key", F.explode(F.arrays_zip("digests", "spans")).alias("x")).select("id", "key", F.col("x.digests").alias("digest"), F.col("x.spans").alias("span"))
-    places = written(each.join(often.hint("merge"), "digest", "left_semi"), "places")
+    each = each.join(hot, "digest", "left").withColumn("salt", dealt).drop("hot")
+    salted = often.join(hot, "digest", "left").select("digest", all_salts.alias("salt"))
+    places = written(each.join(salted.hint("merge"), ["digest", "salt"], "left_semi"), "places")
     dropped(chunked)
     first = places.groupBy("digest").agg(F.min(F.struct("id", "key", "span")).alias("first"))
+    first = first.join(hot, "digest", "left").select("digest", "first", all_salts.alias("salt"))
     here = F.struct("id", "key", "span").eqNullSafe(F.col("first"))
     of_text = F.collect_set(F.struct("digest", "span", (~here).alias("gone"))).alias("again")
-    again = written(places.join(first, "digest").groupBy("id", "key").agg(of_text), "again")
-    dropped(places)
+    again = written(places.join(first, ["digest", "salt"]).groupBy("id", "key").agg(of_text), "again")
+    dropped(places, often)
 
     # The texts' one shuffle.
     side = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("_doc"), F.xxhash64("doc_id", "text").alias("_key"))
