@@ -6,59 +6,95 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from ..operators.lookup import chunks
-from ..storage import settled
+from ..operators.table import numbered
 
 
-def timed_batches(rows: DataFrame, group: str, time: str, size: int = 100, delay_ms: int = 100, ties: Sequence[str] = ()) -> DataFrame:
+def timed_batches(rows: DataFrame, group: str, time: str, size: int = 100, delay_ms: int = 100, ties: Sequence[str] = (), span: int = 100_000) -> DataFrame:
     """Batch form: each row with the number of its batch in its group. A batch ends when it holds `size` rows, or with the
-    first row that comes delay_ms or more after the batch began. ties: columns that order rows of one time.
+    first row that comes delay_ms or more after the batch began. ties: columns that order rows of one time. Rows without a time come first, as if all at
+    one time; a null group is a group.
 
-    A gap of delay_ms or more always ends a batch, so a group is cut there into segments, which are dealt to all tasks. Where a batch begins inside a
-    segment depends on the one before, so a segment is gone through in order, as a stream of sorted rows of which a task keeps one running state.
+    Where a batch begins depends on the one before, so a group is cut into spans of rows (at least `size`), which are dealt to all tasks. The first batch of a span
+    begins at one of its first `size` rows: for each of these a span tells where the first batch of the next one begins then and how many begin before it.
+    Going through these answers, one row for each span, gives the true begins, and from them each span is numbered by itself.
     """
+    span = max(span, size)
     order = [F.col(f"`{c}`") for c in (time, *ties)]
-    micros = F.unix_micros(F.col(f"`{time}`").cast("timestamp"))
-    mine = Window.partitionBy(f"`{group}`").orderBy(*order)
-    gap = F.coalesce(micros - F.lag(micros).over(mine) >= delay_ms * 1000, F.lit(True))
-    cut = rows.withColumn("_micros", micros).withColumn("_gap", gap.cast("long")).withColumn("_segment", F.sum("_gap").over(mine.rowsBetween(Window.unboundedPreceding, 0))).drop("_gap")
-    dealt = cut.repartition(group, "_segment").sortWithinPartitions(group, "_segment", *order)
+    micros = F.coalesce(F.unix_micros(F.col(f"`{time}`").cast("timestamp")), F.lit(-(2**62)))
+    own = numbered(rows.withColumn("_micros", micros), order, "_at", [group]).withColumn("_span", F.floor(F.col("_at") / span))
+    key = F.col(f"`{group}`").alias("_group")
+    slim = own.select(key, "_span", "_at", "_micros")
+    followed = slim.where((F.col("_at") >= span) & (F.col("_at") % span == 0)).select(F.col("_group").alias("_g"), (F.col("_span") - 1).alias("_s"))
+    here = slim.join(followed, F.col("_group").eqNullSafe(F.col("_g")) & (F.col("_span") == F.col("_s")), "left_semi")
+    ahead = slim.where((F.col("_at") >= span) & (F.col("_at") % span < size)).withColumn("_span", F.col("_span") - 1)
+    kind = T.StructType([slim.schema["_group"], slim.schema["_span"], T.StructField("exits", T.ArrayType(T.LongType())), T.StructField("begun", T.ArrayType(T.LongType()))])
+    leaps = here.unionByName(ahead).groupBy("_group", "_span").applyInArrow(lambda one: _leaps(one, size, delay_ms * 1000, span), kind)
+    kind = T.StructType([slim.schema["_group"], T.StructField("_next", T.LongType()), T.StructField("_entry", T.LongType()), T.StructField("_before", T.LongType())])
+    entries = leaps.repartition("_group").sortWithinPartitions("_group", "_span").mapInArrow(_entries, kind)
+    known = own.join(entries, F.col(f"`{group}`").eqNullSafe(F.col("_group")) & (F.col("_span") == F.col("_next")), "left").drop("_group", "_next")
+    known = known.withColumns({c: F.coalesce(c, F.lit(0)) for c in ("_entry", "_before")})
+    dealt = known.repartition(group, "_span").sortWithinPartitions(group, "_span", "_at")
     schema = T.StructType([*dealt.schema.fields, T.StructField("_own", T.LongType())])
-    placed = settled(dealt.mapInPandas(lambda it: _batches(it, group, size, delay_ms * 1000), schema))
-    held = placed.groupBy(group, "_segment").agg(F.max("_own").alias("_last"))
-    before = F.coalesce(F.sum(F.col("_last") + 1).over(Window.partitionBy(f"`{group}`").orderBy("_segment").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    begins = held.select(F.col(f"`{group}`").alias("_group"), F.col("_segment").alias("_of"), before.alias("_before"))
-    joined = placed.join(begins, placed[group].eqNullSafe(F.col("_group")) & (F.col("_segment") == F.col("_of")))
-    return joined.select(*[F.col(f"`{c}`") for c in rows.columns], (F.col("_before") + F.col("_own")).alias("batch"))
-
-
-def _batches(frames: Iterator[pd.DataFrame], group: str, size: int, delay: int) -> Iterator[pd.DataFrame]:
-    """Numbers of batches inside each segment; rows come sorted. The last batch may go on in the next frame."""
-    now: tuple = (None, None)
-    begin, n, batch = 0, 0, -1
+    placed = dealt.mapInArrow(lambda it: _batches(it, size, delay_ms * 1000, span), schema)
+    return placed.select(*[F.col(f"`{c}`") for c in rows.columns], (F.col("_before") + F.col("_own")).alias("batch"))
+
+
+def _leaps(one: pa.Table, size: int, delay: int, span: int) -> pa.Table:
+    """One span with the `size` rows after it: for a first batch at each possible row, where the first one after the span begins, and how many begin in the span."""
+    one = one.sort_by("_at")
+    at, times = one.column("_at").to_numpy(), one.column("_micros").to_numpy()
+    rows = np.arange(span)
+    after = np.maximum(rows + 1, np.minimum(rows + size, np.searchsorted(times, times[:span] + delay)))
+    last, begun = np.where(after < span, after, rows), (after < span).astype(np.int64)
+    while (last[last] != last).any():  # leaps twice as long each time
+        last, begun = last[last], begun + begun[last]
+    n = 1 if at[0] == 0 else size
+    exits, begun = (after[last] - span)[:n], begun[:n] + 1
+    lists = {c: pa.array([x.tolist()], pa.list_(pa.int64())) for c, x in (("exits", exits), ("begun", begun))}
+    return pa.table({"_group": one.column("_group").slice(0, 1), "_span": one.column("_span").slice(0, 1)} | lists)
+
+
+def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Where the first batch of each span but the first begins, and how many begin before; answers come in order of group and span."""
+    entry, before = 0, 0
+    for batch in batches:
+        found = []
+        for span, exits, begun in zip(*(batch.column(c).to_pylist() for c in ("_span", "exits", "begun")), strict=True):
+            if span == 0:
+                entry, before = 0, 0
+            entry, before = exits[entry], before + begun[entry]
+            found.append((span + 1, entry, before))
+        columns = [pa.array(x, pa.int64()) for x in zip(*found, strict=True)] if found else [pa.array([], pa.int64())] * 3
+        yield pa.RecordBatch.from_arrays([batch.column("_group"), *columns], names=["_group", "_next", "_entry", "_before"])
+
+
+def _batches(frames: Iterator[pa.RecordBatch], size: int, delay: int, span: int) -> Iterator[pa.RecordBatch]:
+    """Numbers of batches inside each span, -1 for rows of a batch that began before; rows come sorted. The last batch may go on in the next frame."""
+    begin, n, batch, skip = 0, 0, -1, 0
     for frame in frames:
-        names, segments, times = frame[group], frame["_segment"].to_numpy(), frame["_micros"].to_numpy()
-        codes = pd.factorize(names, use_na_sentinel=False)[0]
-        own = np.zeros(len(frame), dtype=np.int64)
-        starts = np.flatnonzero(np.concatenate(([True], (codes[1:] != codes[:-1]) | (segments[1:] != segments[:-1])))) if len(frame) else []
-        for a, b in zip(starts, [*starts[1:], len(frame)], strict=True):
-            name = names.iat[a]
-            key = (None if pd.isna(name) else name, int(segments[a]))
-            if key != now:
-                now, begin, n, batch = key, int(times[a]), 0, 0
+        at, times, entries = (frame.column(c).to_numpy() for c in ("_at", "_micros", "_entry"))
+        own = np.full(len(at), -1, dtype=np.int64)
+        starts = np.flatnonzero(at % span == 0).tolist()
+        for a, b in zip([0, *starts], [*starts, len(at)], strict=True):
+            if a < b and at[a] % span == 0:
+                begin, n, batch, skip = 0, size, -1, int(entries[a])
+            held = min(skip, b - a)
+            a, skip = a + held, skip - held
             while a < b:
-                end = min(b, a + size - n, max(a + (n == 0), a + int(np.searchsorted(times[a:b], begin + delay))))
+                end = min(b, a + size - n, max(a + (n == 0), a + int(np.searchsorted(times[a : min(b, a + size)], begin + delay))))
                 own[a:end] = batch
                 n += end - a
                 a = end
                 if a < b:
                     begin, n, batch = int(times[a]), 0, batch + 1
-        yield frame.assign(_own=own)
+        yield pa.RecordBatch.from_arrays([*frame.columns, pa.array(own)], names=[*frame.schema.names, "_own"])
 
 
 def stream_in_batches(stream: DataFrame, deliver: Callable[[DataFrame, int], None], order: str, size: int = 100, every: str = "100 milliseconds", checkpoint: str | None = None, once: bool = False) -> StreamingQuery:

@@ -226,8 +226,8 @@ def test_cache_events(spark):
     assert rows(events.sizes(paths, ["k1"]), "k1", "size") == [(1, 2), (2, 1)]
 
 
-@pytest.mark.parametrize(("size", "hours"), [(3, 40), (100, 1), (2, 0)])
-def test_timed_batches_against_a_loop(spark, size, hours):
+@pytest.mark.parametrize(("size", "hours", "span"), [(3, 40, 4), (5, 40, 5), (3, 40, 100_000), (100, 1, 8), (2, 0, 7)])
+def test_timed_batches_against_a_loop(spark, size, hours, span):
     source = spark.read.parquet("/root/testdata/sf0.001/events.parquet").select("event_id", "user_id", "ts").withColumn("user_id", F.when(F.col("user_id") % 7 != 0, F.col("user_id") % 9))
     expected, state = {}, {}
     for r in source.orderBy("user_id", "ts", "event_id").collect():
@@ -238,7 +238,7 @@ def test_timed_batches_against_a_loop(spark, size, hours):
         expected[r["event_id"]] = batch
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
     try:
-        out = {r["event_id"]: r["batch"] for r in jobs.timed_batches(source, "user_id", "ts", size, 3600 * hours * 1000, ["event_id"]).collect()}
+        out = {r["event_id"]: r["batch"] for r in jobs.timed_batches(source, "user_id", "ts", size, 3600 * hours * 1000, ["event_id"], span).collect()}
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     assert out == expected and max(expected.values()) > 2
