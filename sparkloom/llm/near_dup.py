@@ -307,7 +307,7 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     banded = classes.select("doc_id", F.explode("bands").alias("band"))
     buckets = banded.groupBy("band").agg(F.min("doc_id").alias("a"), F.count("*").alias("n")).where("n > 1").drop("n")
     pairs = written(banded.join(buckets, "band").where("doc_id != a").select("a", F.col("doc_id").alias("b")).distinct(), "pairs")
-    clusters = written(components(pairs), "clusters").withColumnsRenamed({"node": "doc_id", "component": "cluster"})
+    clusters = components(pairs).withColumnsRenamed({"node": "doc_id", "component": "cluster"})
     asked = classes.join(clusters, "doc_id").select("doc_id", "row", "cluster", F.col("size").cast("long").alias("size"))
     sizes = asked.groupBy("cluster").agg(F.ceil(F.sum("size") / s.block).cast("int").alias("blocks"))
     placed = written(asked.join(sizes, "cluster"), "placed")
@@ -321,7 +321,7 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
         # Clusters of several blocks: links to each bucket's smallest first, so that their largest part need not go from block to block.
         theirs = written(texts.join(wide, "row").groupBy("doc_id").agg(F.min("marks").alias("marks")), "wide")
         star = written(_verified(pairs.join(theirs.select(F.col("doc_id").alias("a")), "a", "left_semi"), theirs, s), "links")
-        known = written(components(star), "parts").withColumnsRenamed({"node": "doc_id", "component": "part"})
+        known = components(star).withColumnsRenamed({"node": "doc_id", "component": "part"})
         parts = placed.join(known, "doc_id", "left").withColumn("part", F.coalesce("part", "doc_id"))
         by_size = wide.join(known, "doc_id").groupBy("cluster", "part").agg(F.sum("size").alias("size"))
         most = by_size.groupBy("cluster").agg(F.max(F.struct("size", "part")).getField("part").alias("most"))
@@ -331,8 +331,8 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     dealt = dealt.select("doc_id", "row", "part", "major", "home", F.xxhash64("cluster", "block").alias("cell"), (F.col("home") != F.col("block")).alias("visits"))
     cells = texts.join(dealt.hint("merge"), "row").drop("row").repartition("cell").sortWithinPartitions("cell", "visits")
     links = written(cells.mapInPandas(lambda it: _cells(it, s), "a long, b long"), "links")
-    dropped(pairs, placed)
-    found = written(components(links if star is None else links.unionByName(star)), "components")
+    dropped(pairs, placed, clusters)
+    found = components(links if star is None else links.unionByName(star))
     grouped_classes = classes.select("words", F.col("doc_id").alias("class")).join(found.withColumnRenamed("node", "class"), "class", "left")
     grouped_ = described.select("doc_id", "words").join(grouped_classes, "words", "left")
     group = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "class", "doc_id"))
