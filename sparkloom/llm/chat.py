@@ -10,7 +10,8 @@ sequence that hold its earlier turns: a token attends to those and to earlier to
 Scale: conversations are dealt by ranges of their turns' hashes and id, so conversations with a common beginning lie
 side by side and a beginning that a third of them share is spread over many tasks. A sequence ends after `max_ids` ids or
 `max_conversations`; a tree that is cut there, or where a range ends, has its shared turns once in each sequence.
-The sequences are written to the shared folder and read back.
+The sequences are written to the shared folder and read back. Spark reads up to 4,096 rows of a row group at once, which are as many sequences,
+so row groups are of a few sequences; the encoder's memos keep to `memo_bytes`, and workers that read give them back.
 
 Edge cases: null text and role are empty. Rows of one conversation with equal turn stand in the order of role and text; null turns
 come first. Repeated rows are turns. Rows with a null conv_id are one conversation. An empty table gives no rows.
@@ -28,8 +29,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .store import fresh_path
-from .tokens import encoder
+from .store import small_batches, written
+from .tokens import encoder, forget, pieces
 
 _CONTROL, _ESCAPED = re.compile(r"<(\\*)\|"), re.compile(r"<\\(\\*)\|")
 _TURN = re.compile(r"<\|im_start\|>(.*?)\n(.*?)<\|im_end\|>\n", re.S)
@@ -37,12 +38,22 @@ SEQUENCE = (
     "ids array<int>, positions array<int>, loss array<boolean>, starts array<int>, stops array<int>, parents array<int>, "
     "attends array<array<int>>, conversations array<long>, leaves array<int>"
 )
+#: Row groups end after so many bytes, looked at after each row, and so many rows, as equal texts take few bytes. Positions count upwards and
+#: are written as differences.
+FILES = {
+    "parquet.block.size": str(2 << 20),
+    "parquet.block.row.count.limit": "32",
+    "parquet.page.size.row.check.min": "1",
+    "parquet.writer.version": "v2",
+    "parquet.enable.dictionary#positions.list.element": "false",
+}
 
 
 @dataclass(frozen=True)
 class Settings:
     max_ids: int = 65_536
     max_conversations: int = 4_096
+    memo_bytes: int = 96 << 20
 
 
 def escape(text: str) -> str:
@@ -107,7 +118,7 @@ class _Sequence:
 
 
 def _grown(batches: Iterator[pd.DataFrame], path: str, s: Settings) -> Iterator[pd.DataFrame]:
-    ids_of, now = encoder(path, "bytes").ids, _Sequence()
+    ids_of, now = encoder(path, "bytes", s.memo_bytes).ids, _Sequence()
     for batch in batches:
         for conv, turns in zip(batch["conv_id"], batch["turns"], strict=True):
             now.add(None if pd.isna(conv) else int(conv), [(t["role"], t["text"]) for t in turns], ids_of)
@@ -128,13 +139,20 @@ def sequences(conversations: DataFrame, path: str, settings: Settings = Settings
 
 
 def _read(batches: Iterator[pd.DataFrame], path: str) -> Iterator[pd.DataFrame]:
-    tokenizer = encoder(path, "bytes").tokenizer
+    forget()
+    piece = pieces(path)
+
+    def shown(ids: np.ndarray) -> str:
+        return b"".join([piece[i] for i in ids.tolist()]).decode("utf-8", "replace")
+
     for batch in batches:
         for r in batch.itertuples():
             ids, loss = np.asarray(r.ids), np.asarray(r.loss, dtype=bool)
-            spans = [slice(a, b) for a, b in zip(r.starts, r.stops, strict=True)]
-            written = tokenizer.decode_batch([ids[x].tolist() for x in spans], skip_special_tokens=False)
-            learned = tokenizer.decode_batch([ids[x][loss[x]].tolist() for x in spans], skip_special_tokens=False)
+            read = []  # of each turn's text: turns, what the digest takes, what is learned, length
+            for a, b in zip(r.starts, r.stops, strict=True):
+                text, under = shown(ids[a:b]), unescape(shown(ids[a:b][loss[a:b]]))
+                turns = [f"{unescape_role(x)}\n{unescape(y)}\n" for x, y in _TURN.findall(text)]
+                read.append((len(turns), "".join(turns).encode(), len(under), under.encode(), len(text)))
             node_at = {a: k for k, a in reversed(list(enumerate(r.starts)))}
             out = []
             for conv, leaf in zip(r.conversations, r.leaves, strict=True):
@@ -146,21 +164,22 @@ def _read(batches: Iterator[pd.DataFrame], path: str) -> Iterator[pd.DataFrame]:
                             nodes.append(k)
                             a, k = r.stops[k], k + 1
                     nodes.append(leaf)
-                text = "".join([written[k] for k in nodes])
-                turns = [(unescape_role(a), unescape(b)) for a, b in _TURN.findall(text)]
-                under = "".join([unescape(learned[k]) for k in nodes])
-                digest = hashlib.sha256("".join([f"{a}\n{b}\n" for a, b in turns]).encode()).hexdigest()
-                out.append((conv, len(turns), digest, len(under), hashlib.sha256(under.encode()).hexdigest(), len(text)))
+                said, learned, n_turns, n_learned, n_text = hashlib.sha256(), hashlib.sha256(), 0, 0, 0
+                for turns, text, under, under_text, length in map(read.__getitem__, nodes):
+                    said.update(text)
+                    learned.update(under_text)
+                    n_turns, n_learned, n_text = n_turns + turns, n_learned + under, n_text + length
+                out.append((conv, n_turns, said.hexdigest(), n_learned, learned.hexdigest(), n_text))
             yield pd.DataFrame(out, columns=["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]).astype({"conv_id": "Int64"})
 
 
 def read_digests(rows: DataFrame, path: str) -> DataFrame:
     """What each conversation of written sequences holds, read from ids, attention intervals and loss mask alone."""
-    return rows.mapInPandas(lambda it: _read(it, path), "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
+    needed = rows.select("ids", "loss", "starts", "stops", "attends", "conversations", "leaves")
+    return needed.mapInPandas(lambda it: _read(it, path), "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
 
 
 def chat(conversations: DataFrame, path: str) -> DataFrame:
-    spark = conversations.sparkSession
-    folder = fresh_path(spark, "chat")
-    sequences(conversations, path).write.parquet(folder)
-    return read_digests(spark.read.parquet(folder), path)
+    rows = written(sequences(conversations, path), "chat", FILES)
+    small_batches(conversations.sparkSession)
+    return read_digests(rows, path)

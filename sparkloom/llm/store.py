@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 
 from .. import storage
@@ -28,9 +30,9 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set(_BATCH, _batch(spark))
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, options: Mapping[str, str] | None = None) -> DataFrame:
     """The same rows, read from a table in the shared folder that is written with small Arrow batches."""
-    return storage.written(df, name, {_BATCH: _batch(df.sparkSession)})
+    return storage.written(df, name, {_BATCH: _batch(df.sparkSession)}, **{"options": options} if options else {})
 
 
 def spread(table: DataFrame) -> DataFrame:

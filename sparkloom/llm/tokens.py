@@ -14,6 +14,7 @@ the separators U+001C to U+001F, go through the library's whole encoder. Tests h
 from __future__ import annotations
 
 import re
+import sys
 from array import array
 
 from tokenizers import Tokenizer
@@ -39,26 +40,56 @@ def _visible() -> dict[int, str]:
     return {b: chr(b if b in own else next(rest)) for b in range(256)}
 
 
+class _Room:
+    """Bytes that the keys and values of some memos take together. When half of them are taken, the memos set aside what they hold, and what
+    they had set aside before goes: keys that still come are taken over, the others go at the next turn."""
+
+    def __init__(self, size: int):
+        self.size, self.taken, self.memos = size, 0, []
+
+    def take(self, size: int) -> None:
+        if self.taken + size > self.size // 2:
+            for memo in self.memos:
+                memo.aside = dict(memo)
+                memo.clear()
+            self.taken = 0
+        self.taken += size
+
+
 class _Memo(dict):
-    def __init__(self, make):
+    """Values by key, made when first asked for. In a room, a key that takes over a hundredth of it is not kept."""
+
+    def __init__(self, make, room: _Room | None = None):
         super().__init__()
-        self.make = make
+        self.make, self.room, self.aside = make, room, {}
+        if room:
+            room.memos.append(self)
 
     def __missing__(self, key):
-        found = self[key] = self.make(key)
+        found = self.aside.get(key)
+        if found is None:
+            found = self.make(key)
+        if self.room:
+            size = sys.getsizeof(key) + sys.getsizeof(found) + 64  # a table's share and rounding
+            if size > self.room.size // 100:
+                return found
+            self.room.take(size)
+        self[key] = found
         return found
 
 
 class Encoder:
-    """ids(text): the ids as little-endian unsigned 32-bit integers."""
+    """ids(text): the ids as little-endian unsigned 32-bit integers. room: bytes that its memos
+    take together, about; without it each holds MEMO chunks."""
 
-    def __init__(self, path: str, layout: str):
+    def __init__(self, path: str, layout: str, room: int | None = None):
         self.tokenizer = Tokenizer.from_file(path)
         self.layout, self._model, self._visible = layout, self.tokenizer.model, _visible()
-        self._part = _Memo(self._of_part)
-        self._first = _Memo(lambda chunk: self._of_chunk(chunk))
-        self._rest = _Memo(lambda chunk: self._of_chunk(" " + chunk))
-        self._run = _Memo(self._whole)
+        self._bound = bound = _Room(room) if room else None
+        self._part = _Memo(self._of_part, bound)
+        self._first = _Memo(lambda chunk: self._of_chunk(chunk), bound)
+        self._rest = _Memo(lambda chunk: self._of_chunk(" " + chunk), bound)
+        self._run = _Memo(self._whole, bound)
         self._line = self._whole("\n")
 
     def _whole(self, text: str) -> bytes:
@@ -72,7 +103,10 @@ class Encoder:
         simple = _SIMPLE.fullmatch(chunk)
         if simple and "<|" not in chunk:
             word, marks = simple.groups()
-            ids = self._part[word.lower() if self.layout == "words" else word]
+            word = word.lower() if self.layout == "words" else word
+            if self._bound and not marks:  # the chunk itself is kept
+                return self._part.get(word) or self._of_part(word)
+            ids = self._part[word]
             return ids + self._part[marks] if marks else ids
         bare = chunk.removeprefix(" ")
         if not _PLAIN.fullmatch(bare) or "<|" in bare:
@@ -83,7 +117,7 @@ class Encoder:
         if not text:
             return b""
         for memo in (self._part, self._first, self._rest, self._run):
-            if len(memo) > MEMO:
+            if not memo.room and len(memo) > MEMO:
                 memo.clear()
         if self.layout == "words":
             return b"".join(map(self._first.__getitem__, text.replace("\n", " ").split(" "))) if not _ODD.search(text) else self._whole(text)
@@ -97,14 +131,21 @@ class Encoder:
         return self._line.join(out)
 
 
-_encoders: dict[tuple[str, str], Encoder] = {}
+_encoders: dict[tuple[str, str, int | None], Encoder] = {}
 
 
-def encoder(path: str, layout: str) -> Encoder:
+def encoder(path: str, layout: str, room: int | None = None) -> Encoder:
     """One for each worker: its memo lasts from task to task."""
-    if (path, layout) not in _encoders:
-        _encoders[path, layout] = Encoder(path, layout)
-    return _encoders[path, layout]
+    if (path, layout, room) not in _encoders:
+        _encoders[path, layout, room] = Encoder(path, layout, room)
+    return _encoders[path, layout, room]
+
+
+def pieces(path: str) -> list[bytes]:
+    """The bytes that each id of a byte-level tokenizer stands for."""
+    tokenizer, bytes_of = Tokenizer.from_file(path), {c: b for b, c in _visible().items()}
+    shown = [tokenizer.id_to_token(i) or "" for i in range(tokenizer.get_vocab_size())]
+    return [bytes([bytes_of[c] for c in x]) if all(c in bytes_of for c in x) else x.encode() for x in shown]
 
 
 def forget() -> None:

@@ -46,12 +46,12 @@ def session_values(spark: SparkSession, values: Mapping[str, str]) -> Iterator[N
                 spark.conf.set(name, value)
 
 
-def written(df: DataFrame, name: str, values: Mapping[str, str] | None = None) -> DataFrame:
-    """The same rows, read from a table in the shared folder, which is written under the settings `values`. The job's shuffle files go when
-    it ends, as nothing else reads them."""
+def written(df: DataFrame, name: str, values: Mapping[str, str] | None = None, options: Mapping[str, str] | None = None) -> DataFrame:
+    """The same rows, read from a table in the shared folder, which is written under the settings `values` and with the writer's `options`.
+    The job's shuffle files go when it ends, as nothing else reads them."""
     path = fresh_path(df.sparkSession, name)
     with session_values(df.sparkSession, {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"} | dict(values or {})):
-        df.write.option("compression", "zstd").parquet(path)
+        df.write.options(**{"compression": "zstd"} | dict(options or {})).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
